@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bedfeed.functions import hl7
+from bedfeed.session import explode_rows
 
 # Segments that occur once per message and whose columns are already parsed.
 _SINGLE = {"MSH": "msh", "PID": "pid_fields", "PV1": "pv1_fields"}
@@ -107,8 +108,7 @@ def extract_fields(messages: DataFrame, names: list[str], only_usable: bool = Fa
             )
     keep = [c for c in ("dir", "file", "seg_id", "msg_idx") if c in messages.columns]
     return (
-        messages.where(usable)
-        .select(*keep, F.posexplode(F.concat(*arrays)).alias("line_idx", "l"))
+        explode_rows(messages.where(usable), keep, F.concat(*arrays), "l", "line_idx")
         .select(*keep, "line_idx", "l.kind", "l.values", "l.line")
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bedfeed.functions import hl7, times, values
-from bedfeed.session import compute_once
+from bedfeed.session import compute_once, explode_rows
 
 # Segments every message needs, and OBR.4 codes and names of the known message kinds.
 REQUIRED_SEGMENTS = ("MSH", "PID", "PV1")
@@ -41,10 +41,8 @@ def _last(segments: Column, name: str) -> Column:
 
 def segment_table(messages: DataFrame, message: str = "message") -> DataFrame:
     """One row per segment: ``seg_idx``, ``name`` and ``fields`` besides the message columns."""
-    rows = messages.select(
-        *[c for c in messages.columns if c != message],
-        F.posexplode(segment_texts(F.col(message))).alias("seg_idx", "segment"),
-    )
+    keep = [c for c in messages.columns if c != message]
+    rows = explode_rows(messages, keep, segment_texts(F.col(message)), "segment", "seg_idx")
     return rows.select(
         *[c for c in rows.columns if c != "segment"],
         hl7.label(F.col("segment")).alias("name"),
@@ -58,7 +56,7 @@ def value_table(segments: DataFrame, level: int = 5) -> DataFrame:
     ``level`` stops the splitting: 2 fields, 3 repetitions, 4 components, 5 subcomponents.
     """
     keep = [c for c in segments.columns if c != "fields"]
-    out = segments.select(*keep, F.posexplode("fields").alias("field", "value"))
+    out = explode_rows(segments, keep, F.col("fields"), "value", "field")
     steps = ((3, "rep", "~"), (4, "comp", "\\^"), (5, "sub", "&"))
     for depth, name, separator in steps:
         if level < depth:
@@ -66,9 +64,7 @@ def value_table(segments: DataFrame, level: int = 5) -> DataFrame:
         parts = F.when(F.col("value") == hl7.ENCODING_CHARS, F.array("value")).otherwise(
             F.split("value", separator, -1)
         )
-        out = out.select(
-            *[c for c in out.columns if c != "value"], F.posexplode(parts).alias(name, "value")
-        )
+        out = explode_rows(out, [c for c in out.columns if c != "value"], parts, "value", name)
     return out
 
 
@@ -350,7 +346,7 @@ def parse_messages(df: DataFrame, message: str = "message") -> DataFrame:
             *[F.col(f"patient.{c}").alias(c) for c in PERSON],
             code.alias("error_code"),
         ),
-        {"error_code": F.col("error_code"), "msg_kind": F.col("msg_kind")},
+        {c: F.col(c) for c in ("error_code", "msg_kind", "signals")},
     )
     return out.withColumn(
         "error_msg",

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from bedfeed.functions import times, values
 from bedfeed.operators.messages import valid
+from bedfeed.session import explode_rows
 
 # Channel name -> channel type.
 CHANNEL_TYPES = {
@@ -214,17 +215,12 @@ def flat_signal_rows(messages: DataFrame) -> DataFrame:
     """Signals of valid non-admission messages, exploded to channel rows with raw value text."""
     good = valid(messages).where(F.col("msg_kind") != "ADT")
     file_columns = [c for c in _FILE if c in good.columns]
-    signals = good.select(
-        *_COMMON, *file_columns, "msg_kind", F.posexplode("signals").alias("obr_idx", "s")
-    ).where(F.col("s.known"))
-    return signals.select(
-        *_COMMON, *file_columns, "msg_kind", "obr_idx",
-        F.col("s.src").alias("src"),
-        F.col("s.type").alias("msg_type"),
-        F.col("s.start_ns").alias("start_t_ns"),
-        F.col("s.end_ns").alias("end_t_ns"),
-        F.posexplode(rows_in_message(F.col("s"), F.col("msg_kind") == "Waveform")).alias("row_idx", "r"),
-    ).select("*", "r.*").drop("r")
+    kept = [*_COMMON, *file_columns, "msg_kind"]
+    signals = explode_rows(good, kept, F.col("signals"), "s", "obr_idx").where(F.col("s.known"))
+    kept += ["obr_idx", F.col("s.src").alias("src"), F.col("s.type").alias("msg_type")]
+    kept += [F.col("s.start_ns").alias("start_t_ns"), F.col("s.end_ns").alias("end_t_ns")]
+    in_signal = rows_in_message(F.col("s"), F.col("msg_kind") == "Waveform")
+    return explode_rows(signals, kept, in_signal, "r", "row_idx").select("*", "r.*").drop("r")
 
 
 def observations(messages: DataFrame, types: Mapping[str, str] = CHANNEL_TYPES) -> DataFrame:
@@ -263,7 +259,7 @@ def conform(df: DataFrame) -> list[Column]:
 def explode_samples(rows: DataFrame) -> DataFrame:
     """One row per waveform sample with its own time."""
     keep = [c for c in rows.columns if c not in ("values_num", "values_str")]
-    out = rows.select(*keep, F.posexplode("values_num").alias("sample_idx", "sample"))
+    out = explode_rows(rows, keep, F.col("values_num"), "sample", "sample_idx")
     step = F.rint(F.col("sample_idx") * F.col("pd_samp_ms") * 1e6).cast("bigint")
     return out.withColumn("sample_t_ns", F.col("start_t_ns") + step)
 

@@ -6,15 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bedfeed.functions import text
+from bedfeed.session import explode_rows
 
 
 def non_ascii_profile(df: DataFrame, column: str) -> DataFrame:
     """Texts per non-ASCII character."""
-    return (
-        df.select(F.explode(text.non_ascii_chars(F.col(column))).alias("char"))
-        .groupBy("char")
-        .agg(F.count(F.lit(1)).alias("texts"))
-    )
+    chars = explode_rows(df, [], text.non_ascii_chars(F.col(column)), "char")
+    return chars.groupBy("char").agg(F.count(F.lit(1)).alias("texts"))
 
 
 def archive_table(df: DataFrame, column: str, compression: str = "zlib") -> DataFrame:

@@ -70,3 +70,16 @@ def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """
     box = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
     return df.select(*[c for c in df.columns if c not in columns], F.inline(box))
+
+
+def explode_rows(
+    df: DataFrame, keep: list, array: Column, value: str, position: str = "_position"
+) -> DataFrame:
+    """One row per array element, with its position if that is named; empty arrays give no row.
+
+    A plain explode makes Spark filter on the size of the array first and so evaluate it twice. The outer
+    form, with its one empty row dropped afterwards, evaluates it once.
+    """
+    rows = df.select(*keep, F.posexplode_outer(array).alias(position, value))
+    rows = rows.where(F.col(position).isNotNull())
+    return rows.drop(position) if position == "_position" else rows
