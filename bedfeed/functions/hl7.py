@@ -73,9 +73,7 @@ def flat_text(text: Column) -> Column:
     Fields that nest separators have no flat form and keep their raw text.
     """
     comp, rep, sub = text.contains("^"), text.contains("~"), text.contains("&")
-    return (
-        F.when(text == ENCODING_CHARS, text)
-        .when(rep & ~comp & ~sub, F.translate(text, "~", "^"))
-        .when(sub & ~comp & ~rep, F.translate(text, "&", "^"))
-        .otherwise(text)
+    joined = F.when(rep & ~sub, F.replace(text, F.lit("~"), F.lit("^"))).when(
+        sub & ~rep, F.replace(text, F.lit("&"), F.lit("^"))
     )
+    return F.when((rep | sub) & ~comp, F.coalesce(joined, text)).otherwise(text)

@@ -20,23 +20,38 @@ MESSAGE_KINDS = {"182777000": "Vitals", "196616": "Alarm", "69121": "Waveform"}
 WAVEFORM_SIGNAL = "MDC_OBS_WAVE_CTS"
 EVENT_SIGNALS = ("monitoring of patient", "MDC_EVT_ALARM")
 PERSON = ("pid", "visit_id", "first_name", "last_name", "middle_initial")
+HEADER = (
+    "msh_time_text", "msh_time_ns", "send_app", "control_id", "deployment", "hl7_type", "hl7_event",
+    "profile", "patient_class", "location_text", "msg_kind",
+)
 SIGNAL_NAMES = (WAVEFORM_SIGNAL, *EVENT_SIGNALS)
 
 
+def _is_blank_line(line: Column) -> Column:
+    """Whitespace only. The pattern is tried only on lines that start with a control character."""
+    rest = F.ltrim(line)
+    return (rest == "") | ((F.ascii(rest) < 32) & ~rest.rlike("\\S"))
+
+
 def segment_texts(message: Column) -> Column:
     """Segments of a message in order; blank lines are dropped."""
-    lines = F.split(F.translate(message, "\r", "\n"), "\n", -1)
-    return F.filter(lines, lambda s: F.btrim(s, F.lit(" \t\r\n\f\v")) != "")
+    lines = F.split(F.replace(message, F.lit("\r"), F.lit("\n")), "\n", -1)
+    return F.filter(lines, lambda s: ~_is_blank_line(s))
+
 
+def segment_labels(segments: Column) -> Column:
+    return F.transform(segments, hl7.label)
 
-def segment_names(segments: Column) -> Column:
-    return F.array_distinct(F.transform(segments, lambda s: F.upper(hl7.label(s))))
 
+def segment_names(labels: Column) -> Column:
+    return F.array_distinct(F.transform(labels, F.upper))
 
-def _last(segments: Column, name: str) -> Column:
+
+def _last(segments: Column, labels: Column, name: str) -> Column:
     """Fields of the last segment with a name; NULL when there is none."""
-    found = F.filter(segments, lambda s: hl7.label(s) == name)
-    return hl7.fields(F.try_element_at(found, F.lit(-1)))
+    from_end = F.array_position(F.reverse(labels), name)
+    place = F.when(from_end > 0, F.size(labels) - from_end)
+    return hl7.fields(F.get(segments, place.cast("int")))
 
 
 def segment_table(messages: DataFrame, message: str = "message") -> DataFrame:
@@ -73,11 +88,12 @@ def message_level(segments: DataFrame, keys: list[str]) -> DataFrame:
     return segments.groupBy(*keys, "name").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _obr_groups(segments: Column) -> Column:
+def _obr_places(labels: Column) -> Column:
+    return F.array_compact(F.transform(labels, lambda s, i: F.when(s == "OBR", i)))
+
+
+def _obr_groups(segments: Column, starts: Column) -> Column:
     """``array<struct<obr: fields, obx: array<fields>>>``: each OBX belongs to the OBR before it."""
-    starts = F.array_compact(
-        F.transform(segments, lambda s, i: F.when(hl7.label(s) == "OBR", i))
-    )
 
     def group(start: Column, k: Column) -> Column:
         end = F.coalesce(F.get(starts, k + 1), F.size(segments))
@@ -91,9 +107,8 @@ def _obr_groups(segments: Column) -> Column:
     return F.transform(starts, group)
 
 
-def _orphan_obx(segments: Column) -> Column:
+def _orphan_obx(labels: Column) -> Column:
     """True when an OBX comes before any OBR."""
-    labels = F.transform(segments, hl7.label)
     first_obx, first_obr = F.array_position(labels, "OBX"), F.array_position(labels, "OBR")
     return (first_obx > 0) & ((first_obr == 0) | (first_obx < first_obr))
 
@@ -263,21 +278,24 @@ def parse_messages(df: DataFrame, message: str = "message") -> DataFrame:
     Columns besides those of ``df`` (without the text): ``segments, seg_names, missing_segments, msh,
     pid_fields, pv1_fields, obrs, msg_kind, signals`` and the header and patient columns.
     """
-    text = F.ltrim(F.translate(F.col(message), "\r", "\n"), F.lit("\n"))
+    text = F.ltrim(F.col(message), F.lit("\r\n"))
     keep = [c for c in df.columns if c != message]
     split = df.select(
         *keep,
         F.startswith(text, F.lit("MSH")).alias("starts_msh"),
         segment_texts(text).alias("segments"),
     )
-    parts = split.select(
-        "*",
-        segment_names(F.col("segments")).alias("seg_names"),
-        _last(F.col("segments"), "MSH").alias("msh"),
-        _last(F.col("segments"), "PID").alias("pid_fields"),
-        _last(F.col("segments"), "PV1").alias("pv1_fields"),
-        _obr_groups(F.col("segments")).alias("obrs"),
-        _orphan_obx(F.col("segments")).alias("orphan_obx"),
+    segments, labels = F.col("segments"), F.col("_labels")
+    labelled = split.withColumn("_labels", segment_labels(segments))
+    placed = labelled.withColumn("_starts", _obr_places(labels))
+    parts = placed.select(
+        *split.columns,
+        segment_names(labels).alias("seg_names"),
+        _last(segments, labels, "MSH").alias("msh"),
+        _last(segments, labels, "PID").alias("pid_fields"),
+        _last(segments, labels, "PV1").alias("pv1_fields"),
+        _obr_groups(segments, F.col("_starts")).alias("obrs"),
+        _orphan_obx(labels).alias("orphan_obx"),
     )
     msh, pid, pv1 = F.col("msh"), F.col("pid_fields"), F.col("pv1_fields")
     required = F.array(*[F.lit(s) for s in REQUIRED_SEGMENTS])
@@ -346,7 +364,7 @@ def parse_messages(df: DataFrame, message: str = "message") -> DataFrame:
             *[F.col(f"patient.{c}").alias(c) for c in PERSON],
             code.alias("error_code"),
         ),
-        {c: F.col(c) for c in ("error_code", "msg_kind", "signals")},
+        {c: F.col(c) for c in (*HEADER, *PERSON, "signals", "error_code")},
     )
     return out.withColumn(
         "error_msg",
@@ -374,7 +392,4 @@ def quarantine(messages: DataFrame) -> DataFrame:
 def header(messages: DataFrame) -> DataFrame:
     """One row of header columns per message."""
     keep = [c for c in ("dir", "file", "seg_id", "msg_idx") if c in messages.columns]
-    return messages.select(
-        *keep, "msh_time_text", "msh_time_ns", "send_app", "control_id", "deployment",
-        "hl7_type", "hl7_event", "profile", "patient_class", "location_text", "msg_kind",
-    )
+    return messages.select(*keep, *HEADER)

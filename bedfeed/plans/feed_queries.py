@@ -11,7 +11,7 @@ from bedfeed.operators.pipeline import located_messages
 from bedfeed.plans import synth
 from bedfeed.plans.base import query
 from bedfeed.plans.synth import table
-from bedfeed.session import scratch_dir
+from bedfeed.session import scratch_dir, spread
 from bedfeed.sinks.json_rows import to_json_rows
 from bedfeed.sources import feed
 
@@ -36,9 +36,13 @@ e AS (
 )"""
 
 
+def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "events"), "event_id")
+
+
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed and located messages of all events."""
-    texts = synth.messages_from_events(table(spark, sf_dir, "events"))
+    texts = synth.messages_from_events(event_table(spark, sf_dir))
     return located_messages(texts, synth.site_tables(spark, sf_dir))
 
 
@@ -56,7 +60,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments in file contents with mixed line ends."""
-    contents = synth.contents_from_events(table(spark, sf_dir, "events"))
+    contents = synth.contents_from_events(event_table(spark, sf_dir))
     rows = messages.segment_table(feed.split_messages(contents))
     return messages.message_level(rows, []).select("name", "n")
 
@@ -71,7 +75,7 @@ def segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def leaf_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf values of the PID fields after splitting repetitions, components and subcomponents."""
-    texts = synth.messages_from_events(table(spark, sf_dir, "events"))
+    texts = synth.messages_from_events(event_table(spark, sf_dir))
     rows = messages.segment_table(texts).where(F.col("name") == "PID")
     return messages.value_table(rows).groupBy("name", F.col("field").cast("bigint").alias("field")).agg(
         F.count(F.lit(1)).alias("leaves"), F.sum(F.length("value")).cast("bigint").alias("chars")
@@ -86,7 +90,7 @@ def leaf_values(spark: SparkSession, sf_dir: str) -> DataFrame:
       count(*) AS n FROM e GROUP BY ALL"""
 )
 def message_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = synth.messages_from_events(table(spark, sf_dir, "events"))
+    texts = synth.messages_from_events(event_table(spark, sf_dir))
     parsed = messages.valid(messages.parse_messages(texts))
     return parsed.groupBy("msg_kind", "hl7_event").agg(F.count(F.lit(1)).alias("n"))
 
@@ -97,7 +101,7 @@ def message_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
       'P' AS deployment, 'PROF_1' AS profile, 'I' AS patient_class, loc AS location_text FROM e"""
 )
 def header_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = synth.messages_from_events(table(spark, sf_dir, "events"))
+    texts = synth.messages_from_events(event_table(spark, sf_dir))
     return messages.header(messages.parse_messages(texts)).select(
         "control_id", "msh_time_ns", "send_app", "deployment", "profile", "patient_class", "location_text"
     )
@@ -142,7 +146,7 @@ _LINES_SQL = f"""WITH {EVENTS_SQL},
 @query(f"{_LINES_SQL} SELECT event_id AS msg_idx, kind, line FROM lines")
 def field_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Field query over all segment kinds, as text lines."""
-    texts = synth.messages_from_events(table(spark, sf_dir, "events"))
+    texts = synth.messages_from_events(event_table(spark, sf_dir))
     wanted = ["OBR.4", "OBX.3", "MSH.1", "MSH.10", "PID.5", "EVN.1"]
     return fields.extract_fields(messages.parse_messages(texts), wanted).select("msg_idx", "kind", "line")
 
@@ -155,7 +159,7 @@ def field_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def field_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Field query with one column per field."""
-    texts = synth.messages_from_events(table(spark, sf_dir, "events"))
+    texts = synth.messages_from_events(event_table(spark, sf_dir))
     wide = fields.extract_wide(messages.parse_messages(texts), ["PV1.3", "OBR.10"], only_usable=True)
     return wide.groupBy(F.coalesce(F.col("`PV1.3`"), F.col("`_OBR.10`")).alias("location"), "kind").agg(
         F.count(F.lit(1)).alias("n")
@@ -262,7 +266,7 @@ def rows_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def quarantined_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages that cannot be used, with the reason; all others pass."""
-    texts = synth.faulty_messages(table(spark, sf_dir, "events"))
+    texts = synth.faulty_messages(event_table(spark, sf_dir))
     located = located_messages(texts, synth.site_tables(spark, sf_dir))
     return messages.quarantine(located).select("msg_idx", "error_code")
 
@@ -293,7 +297,7 @@ def _codes_sql(rules: list[tuple[int, str]]) -> str:
 
 
 def doubtful(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = synth.doubtful_messages(table(spark, sf_dir, "events"))
+    texts = synth.doubtful_messages(event_table(spark, sf_dir))
     return located_messages(texts, synth.site_tables(spark, sf_dir))
 
 

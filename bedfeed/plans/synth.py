@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bedfeed.operators.location import SiteTables
+from bedfeed.session import compute_once
 
 # Sampling of the waveforms: three samples 4 ms apart.
 PERIOD_MS = 4
@@ -153,11 +154,15 @@ def message_segments() -> Column:
     )
 
 
+def _joined(events: DataFrame, segments: Column) -> DataFrame:
+    """Message texts numbered by their event."""
+    parts = with_parts(events).withColumn("msg_idx", F.col("event_id"))
+    return compute_once(parts, {"message": F.array_join(segments, "\r")}).select("msg_idx", "message")
+
+
 def messages_from_events(events: DataFrame) -> DataFrame:
     """One message text per event, numbered by the event."""
-    return with_parts(events).select(
-        F.col("event_id").alias("msg_idx"), F.array_join(message_segments(), "\r").alias("message")
-    )
+    return _joined(events, message_segments())
 
 
 def contents_from_events(events: DataFrame) -> DataFrame:
@@ -197,9 +202,7 @@ def faulty_messages(events: DataFrame) -> DataFrame:
     segments = F.array(*good)
     for n, broken in enumerate(cases):
         segments = F.when(case == n, F.array(*broken)).otherwise(segments)
-    return with_parts(events).select(
-        F.col("event_id").alias("msg_idx"), F.array_join(segments, "\r").alias("message")
-    )
+    return _joined(events, segments)
 
 
 def doubtful_messages(events: DataFrame) -> DataFrame:
@@ -230,9 +233,7 @@ def doubtful_messages(events: DataFrame) -> DataFrame:
     segments = F.array(msh, pid, pv1, *body)
     for n, broken in cases.items():
         segments = F.when(case == n, F.array(*broken)).otherwise(segments)
-    return with_parts(events).select(
-        F.col("event_id").alias("msg_idx"), F.array_join(segments, "\r").alias("message")
-    )
+    return _joined(events, segments)
 
 
 def site_tables(spark: SparkSession, sf_dir: str) -> SiteTables:

@@ -62,6 +62,13 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table of few files over the cores before costly per-row work; larger tables stay as they
+    are and keep the split of their files."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+
+
 def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns that are evaluated exactly once.
 
