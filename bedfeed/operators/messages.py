@@ -232,7 +232,9 @@ def _signals(obrs: Column) -> Column:
 
 
 def _message_kind(kinds: Column, has_parts: Column, obr_codes: Column) -> Column:
-    kind, code = F.get(kinds, F.lit(0)), F.get(obr_codes, F.lit(0))
+    kind = F.get(kinds, F.lit(0))
+    # A code without a name cannot be matched to a signal type.
+    code = F.when(F.size(obr_codes) > 1, F.get(obr_codes, F.lit(0)))
     out = F.when(has_parts & (kind == "ADT"), F.lit("ADT"))
     for known, name in MESSAGE_KINDS.items():
         out = out.when(has_parts & (kind == "ORU") & (code == known), F.lit(name))

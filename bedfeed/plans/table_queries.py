@@ -11,7 +11,7 @@ from bedfeed.operators import location, observations, patients, profile, wavefor
 from bedfeed.plans import synth
 from bedfeed.plans.base import query
 from bedfeed.plans.synth import table
-from bedfeed.session import scratch_dir
+from bedfeed.session import compute_once, scratch_dir
 from bedfeed.sinks import tables as table_sink
 from bedfeed.sources import tables as table_source
 
@@ -265,16 +265,14 @@ def event_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sightings_of(events: DataFrame) -> DataFrame:
     """One sighting per event: ten beds, one patient per user."""
-    return events.select(
+    text = F.concat(F.date_format("ts", "yyyyMMddHHmmss.SSSSSS"), F.lit("+0000"))
+    return compute_once(events, {"start_ns": times.parse_ns(text)}).select(
         "event_id", "event_type",
         F.lit("H").alias("hospital"), F.lit("U").alias("bed_unit"),
         F.concat(F.lit("B"), F.col("user_id") % 10).alias("bed_id"),
-        F.concat(F.lit("P"), "user_id").alias("pid"),
-        F.concat(F.lit("V"), "user_id").alias("visit_id"),
-        F.concat(F.lit("F"), "user_id").alias("first_name"),
-        F.concat(F.lit("L"), "user_id").alias("last_name"),
+        *[F.concat(F.lit(p), "user_id").alias(c) for p, c in zip("PVFL", patients.FILL, strict=True)],
         F.lit("").alias("middle_initial"),
-        times.parse_ns(F.concat(F.date_format("ts", "yyyyMMddHHmmss.SSSSSS"), F.lit("+0000"))).alias("start_ns"),
+        "start_ns",
         F.col("event_id").alias("msg_idx"),
     )
 
@@ -351,7 +349,9 @@ def _attributed(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
         F.when(F.col("event_type") == "view", F.col("pid")).otherwise(F.lit("")).alias("pid"),
         *[F.lit("").alias(c) for c in ("visit_id", "first_name", "last_name")],
     )
-    found = patients.attribute_patient(rows, patients.patient_intervals(seen), method=method)
+    path = scratch_dir(spark)
+    patients.patient_intervals(seen).write.parquet(path)
+    found = patients.attribute_patient(rows, spark.read.parquet(path), method=method)
     return found.select("event_id", "bed_id", "pid", "visit_id")
 
 
