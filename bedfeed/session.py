@@ -73,10 +73,12 @@ def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns that are evaluated exactly once.
 
     Spark pushes a filter on a derived column down as a filter on its inputs and so evaluates the
-    derivation again. A one-row generator stops that, and is itself only a copy inside the stage.
+    derivation again. A one-row generator stops that. It only copies: the columns are worked out in a
+    projection below it, where Spark shares common parts.
     """
-    box = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
-    return df.select(*[c for c in df.columns if c not in columns], F.inline(box))
+    others = [c for c in df.columns if c not in columns]
+    derived = df.select(*others, *[c.alias(name) for name, c in columns.items()])
+    return derived.select(*others, F.inline(F.array(F.struct(*columns))))
 
 
 def explode_rows(
