@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Larger generated methods are never compiled by the JVM; split projections are faster then.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Plans here are built from many small expressions; skip recording a call site for each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
