@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Larger generated methods are never compiled by the JVM; split projections are faster then.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Plans here are built from many small expressions; skip recording a call site for each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -38,6 +37,11 @@ def local_session(cores: str | int = "*", memory: str = "8g", **extra: str) -> S
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="bedfeed-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder name below the shared checkpoint folder.
 
@@ -48,8 +52,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="bedfeed-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_scratch()
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
