@@ -4,9 +4,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as driver
+from bedfeed.plans.base import ORACLES as SQL
+from bedfeed.plans.base import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
 
 
 @pytest.fixture(scope="module")
