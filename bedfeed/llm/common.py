@@ -34,7 +34,7 @@ def stored(df: DataFrame) -> DataFrame:
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is evaluated once; the inputs of a lambda are evaluated again for every element."""
-    return F.transform(F.array(value), body)[0]
+    return F.transform(F.array(value), lambda x: body(x))[0]
 
 
 def words_of(text: Column) -> Column:

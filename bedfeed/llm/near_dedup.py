@@ -4,10 +4,11 @@ The shingles of a text fall into buckets by their first hash bits. A bucket keep
 number of leading zeros and the bits after the first one. Bands of registers find candidates; an estimate from
 the registers, corrected for registers that are equal by chance, drops what is far off; full sets decide.
 
-Equal shingle sets are one class from the start, so exact copies never meet each other. Candidates that share a
-band are only tied to the smallest of them; the components of these ties are families. Within a family, pieces of
-bounded size are compared with each other, skipping what is already connected, and only links that connect
-something new are written. So no pairs of a group are ever listed, and no link is lost between two families.
+Equal shingle sets are one class from the start, so exact copies never meet each other. The rows of a band that could
+be linked, by a short sketch, are tied together by no more ties than connect them; the components of the ties are
+families. Within a family full sets are compared, skipping what is already connected, and only links that connect
+something new are written. Bands and families that are large are cut into pieces, and every two pieces meet in a
+task of their own. So no pairs of a group are ever listed, no task holds a whole group, and no link is lost.
 """
 
 from __future__ import annotations
@@ -28,8 +29,11 @@ MANTISSA_BITS = 10
 BAND_ROWS = 5
 # A band of 5 registers matches with 0.8**5, so 51 bands miss a link at the threshold once in 6e8.
 BANDS = (1 << BUCKET_BITS) // BAND_ROWS
-# Rows of one family that are compared in one task: two pieces.
+# Rows of a piece of a large band or family; two pieces meet in a task.
 PIECE = 1000
+# Sets of this size and more bring only their first registers to the bands.
+LONG_SET = 128
+SHORT_SKETCH = 64
 
 
 def doc_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,6 +118,96 @@ def band_keys(classes: DataFrame) -> DataFrame:
     return classes.select("doc_id", "registers").mapInArrow(run, "doc_id long, band long")
 
 
+def whole_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of rows with whole runs of equal keys, from batches that are in the order of the key."""
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = pa.Table.from_batches([batch])
+        now = now if rest is None else pa.concat_tables([rest, now])
+        keys = now.column(key).to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1], "left"))
+        if cut:
+            yield now.slice(0, cut)
+        rest = now.slice(cut)
+    if rest is not None:
+        yield rest
+
+
+def could_link(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether pairs of short sketches leave a link possible: five deviations below the threshold still do."""
+    long = (size_a >= LONG_SET) | (size_b >= LONG_SET)
+    full = (a != 0) & (a == b)
+    some = (a != 0) | (b != 0)
+    equal = np.where(long, full[:, :SHORT_SKETCH].sum(1), full.sum(1))
+    used = np.where(long, some[:, :SHORT_SKETCH].sum(1), some.sum(1))
+    share = (equal / np.maximum(used, 1) - CHANCE) / (1 - CHANCE)
+    limit = percent / 100
+    unseen = np.maximum(0.2, 1 - used * (1 + limit) / (size_a + size_b))
+    fits = 100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)
+    return fits & (share >= limit - 5 * np.sqrt(limit * (1 - limit) * unseen / np.maximum(used, 1)))
+
+
+def band_ties(percent: int):
+    """Ties (a, b) that connect the rows of each run which could be linked, between its two pieces or within one."""
+
+    def of_rows(rows: pa.Table) -> tuple[list[int], list[int]]:
+        keys = rows.column("key").to_numpy()
+        order = np.argsort(keys, kind="stable")
+        keys, rows = keys[order], rows.take(pa.array(order))
+        ids, sizes = rows.column("doc_id").to_numpy(), rows.column("n_shingles").to_numpy()
+        side = rows.column("side").to_numpy()
+        sketch = np.zeros((len(keys), 1 << BUCKET_BITS), np.uint16)
+        for i, x in enumerate(rows.column("sketch").to_pylist()):
+            sketch[i, : len(x) // 2] = np.frombuffer(x, np.uint16)
+        roots, a, b = np.arange(len(keys)), [], []
+        at = np.arange(len(keys))
+        for step in range(1, len(keys)):
+            at = at[at + step < len(keys)]
+            at = at[keys[at] == keys[at + step]]
+            if not len(at):
+                break
+            for part in np.array_split(at, len(at) // 5000 + 1):
+                i = part[(roots[part] != roots[part + step]) & ((side[part] < 0) | (side[part] != side[part + step]))]
+                j = i + step
+                yes = could_link(sketch[i], sketch[j], sizes[i], sizes[j], percent)
+                for x, y in zip(i[yes].tolist(), j[yes].tolist(), strict=True):
+                    x_root, y_root = _root(roots, x), _root(roots, y)
+                    if x_root != y_root:
+                        roots[max(x_root, y_root)] = min(x_root, y_root)
+                        a.append(ids[y])
+                        b.append(ids[x])
+            while (roots != (up := roots[roots])).any():
+                roots = up
+        return a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_runs(batches, "key"):
+            a, b = of_rows(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def candidate_ties(classes: DataFrame, percent: int) -> DataFrame:
+    """Ties (a, b) between classes that share a band and could be linked."""
+    bands = band_keys(classes)
+    shared = bands.groupBy("band").agg(F.count("*").alias("rows")).where("rows > 1")
+    cuts = F.ceil(F.col("rows") / PIECE).cast("int")
+    met = bands.join(shared, "band").select("doc_id", "band", cuts.alias("cuts"))
+    sketch = F.when(F.col("n_shingles") >= LONG_SET, F.substring("registers", 1, 2 * SHORT_SKETCH)).otherwise(F.col("registers"))
+    met = met.join(classes.select("doc_id", "n_shingles", sketch.alias("sketch")), "doc_id")
+    # A band of one piece is one run; else every row goes to the runs of its piece with each other one. `side` tells
+    # the pieces of a run apart, where it has two.
+    own = F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int")
+    met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    key = F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other"))
+    side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    met = met.select(key.alias("key"), "doc_id", "n_shingles", "sketch", side.alias("side"))
+    return met.repartition("key").sortWithinPartitions("key").mapInArrow(band_ties(percent), "a long, b long")
+
+
 def _full_sets(docs: DataFrame, k: int) -> DataFrame:
     """(node, piece keys as they are, n, registers, hashes) of documents, with their whole sets of shingles."""
     keep = [c for c in docs.columns if c != "text"]
@@ -176,14 +270,14 @@ def linker(percent: int):
 
 def links(docs: DataFrame, k: int, percent: int, classes: DataFrame) -> DataFrame:
     """Links (a, b) between classes that connect everything that true links connect."""
-    bands = band_keys(classes)
-    shared = bands.groupBy("band").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("last")).where("b <> last")
-    ties = bands.join(shared, "band").select(F.col("doc_id").alias("a"), "b").where("a <> b").distinct()
+    ties = candidate_ties(classes, percent)
     families = stored(components(ties).select(F.col("node").alias("doc_id"), F.col("component").alias("family")))
-    # A document's set is at least `percent` of a linked one's, so it lies in the same or the next size level. Levels
-    # that are large are cut into pieces by a hash; every two pieces that can hold a link meet in one task.
+    # A document's set is at least `percent` of a linked one's, so it lies in the same or the next size level. The
+    # levels of a large family are cut into pieces by a hash; every two pieces that can hold a link meet in one task.
     level = F.floor(F.log(F.col("n_shingles")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
-    members = families.join(classes.select("doc_id", "n_shingles"), "doc_id").withColumn("level", level)
+    large = families.groupBy("family").agg((F.count("*") > PIECE).alias("large"))
+    members = families.join(classes.select("doc_id", "n_shingles"), "doc_id").join(large, "family")
+    members = members.withColumn("level", F.when(F.col("large"), level).otherwise(0))
     cuts = members.groupBy("family", "level").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("cuts"))
     after = cuts.select("family", (F.col("level") - 1).alias("level"), F.col("cuts").alias("next_cuts"))
     before = cuts.select("family", (F.col("level") + 1).alias("level"), F.col("cuts").alias("last_cuts"))
