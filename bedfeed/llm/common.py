@@ -32,6 +32,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not in a table of ids. The ids are stored first: Spark then knows their size and
+    broadcasts them only if they are few, without having shuffled the texts."""
+    return docs.join(stored(ids.select("doc_id").distinct()), "doc_id", "left_anti")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is evaluated once; the inputs of a lambda are evaluated again for every element."""
     return F.transform(F.array(value), lambda x: body(x))[0]

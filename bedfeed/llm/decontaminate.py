@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bedfeed.llm.common import let, stored
+from bedfeed.llm.common import let, stored, without
 from bedfeed.session import compute_once
 
 # Windows of the benchmark up to this number are broadcast; beyond it they are joined by a shuffle.
@@ -154,3 +154,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFr
 def is_contaminated(n_words: Column, n_hit: Column) -> Column:
     """At least one word in twenty is hit."""
     return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
+def clean_of(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFrame:
+    """The documents that are not contaminated, with all their columns. Rows that share a doc_id go or stay together;
+    rows without one stay only if they are clean themselves."""
+    found = contamination(docs, items, window)
+    bad = found.where(is_contaminated(F.col("n_words"), F.col("n_hit")))
+    return without(docs, bad).select(*docs.columns)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bedfeed.llm.common import blocks, mix, shingle_hashes, stored
+from bedfeed.llm.common import blocks, mix, shingle_hashes, stored, without
 from bedfeed.llm.components import components
 
 BUCKET_BITS = 8
@@ -290,7 +290,7 @@ def links(docs: DataFrame, k: int, percent: int, classes: DataFrame) -> DataFram
 
     own = F.col("level").cast("long") * (1 << 32) + F.col("cut")
     others = F.concat(pieces(0, "cuts"), pieces(1, "next_cuts"), pieces(-1, "last_cuts"))
-    placed = member.select("doc_id", "family", own.alias("piece"), others.alias("others"))
+    placed = stored(member.select("doc_id", "family", own.alias("piece"), others.alias("others")))
     texts = docs.select("doc_id", "text").join(placed, "doc_id").dropDuplicates(["doc_id"])
     sets = _full_sets(texts.select(F.col("doc_id").alias("node"), "family", "piece", "others", "text"), k)
     met = sets.withColumn("other", F.explode("others")).select(
@@ -322,3 +322,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     out = owned.select("doc_id", "n_shingles", "class_id").join(found, "class_id", "left")
     component = F.coalesce("component", "class_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def first_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest doc_id, with all its columns.
+
+    Of rows that repeat a kept doc_id, one stays. Of rows without a doc_id, one of each text stays. Documents without
+    words stay.
+    """
+    found = stored(near_duplicates(docs, k, percent).select("doc_id", "kept"))
+    out = without(docs.where("doc_id is not null"), found.where("not kept and doc_id is not null"))
+    again = stored(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if again.head(1):
+        out = without(out, again).unionByName(out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
+    return out.select(*docs.columns).unionByName(_nameless(docs))
+
+
+def _nameless(docs: DataFrame) -> DataFrame:
+    rows = docs.where("doc_id is null")
+    return rows.dropDuplicates(["text"]) if rows.head(1) else rows

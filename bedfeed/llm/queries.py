@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bedfeed.llm import decontaminate, near_dedup, quality
+import corpus_pipeline
+from bedfeed.llm import decontaminate, near_dedup, packing, pii, quality
 from bedfeed.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,17 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.span_texts(pii.personal_spans(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 13)
@@ -41,3 +53,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
