@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from bedfeed.llm import decontaminate, near_dedup, packing, pii, quality, secrets, sharding, token_counts
+from bedfeed.llm import decontaminate, html, near_dedup, packing, pii, quality, secrets, sharding, token_counts
 from bedfeed.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.span_texts(pii.personal_spans(table(spark, sf_dir, "documents")))
