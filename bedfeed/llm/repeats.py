@@ -237,11 +237,10 @@ def _stretches(length: int):
             row = np.repeat(np.arange(len(windows)), windows)
             at = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows) + start[row]
             row, at = row[hit], at[hit]
-            new = np.ones(len(row), bool)
-            new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
-            first = np.flatnonzero(new)
-            last = np.append(first[1:], len(row)) - 1
-            parts.append((doc[row[first]], at[first], at[last] + length))
+            gap = np.flatnonzero((row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)) + 1
+            if len(row):
+                first, last = np.r_[0, gap], np.r_[gap, len(row)] - 1
+                parts.append((doc[row[first]], at[first], at[last] + length))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["doc", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
