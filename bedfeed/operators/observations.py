@@ -264,8 +264,8 @@ def explode_samples(rows: DataFrame) -> DataFrame:
     return out.withColumn("sample_t_ns", F.col("start_t_ns") + step)
 
 
-def ingest_counts(rows: DataFrame, by: tuple[str, ...] = ("dir", "file")) -> DataFrame:
-    """Messages and rows per file. Use the whole path where folder and file names repeat."""
+def ingest_counts(rows: DataFrame, by: tuple[str, ...] = ("path",)) -> DataFrame:
+    """Messages and rows per file. Shorter keys merge files of equal name in different folders."""
     return rows.groupBy(*by).agg(
         F.countDistinct("msg_idx").alias("messages"), F.count(F.lit(1)).alias("rows")
     )
@@ -275,7 +275,7 @@ def dedup_observations(rows: DataFrame, order: list[str] | None = None) -> DataF
     """Drop rows that are equal in everything but their values, keeping the first.
 
     ``order`` lists the columns that say which row is first, and they are not compared; without it the
-    smallest value is kept. This is an aggregation, so copies collapse before the shuffle and a heavily
+    rows have no order, and the smallest value is kept. This is an aggregation, so copies collapse before the shuffle and a heavily
     copied row does no harm.
     """
     order = order or []

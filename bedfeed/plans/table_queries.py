@@ -14,7 +14,7 @@ from bedfeed.plans import synth
 from bedfeed.plans.base import query
 from bedfeed.plans.synth import table
 from bedfeed.session import compute_once, scratch_dir
-from bedfeed.sinks import tables as table_sink
+from bedfeed.sinks import records, tables as table_sink
 from bedfeed.sources import tables as table_source
 
 # ---------------------------------------------------------------- times
@@ -370,6 +370,47 @@ def attributed_rows_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _attributed(spark, sf_dir, "sorted")
 
 
+@query(
+    f"""WITH {_SEEN_SQL},
+    i AS (SELECT CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'H' END AS h, CASE WHEN event_id % 4 = 0 THEN NULL ELSE bed_id END AS bed,
+      CASE WHEN event_id % 6 = 0 THEN '' ELSE pid END AS pid, 'V' || pid[2:] AS visit,
+      CASE WHEN event_id % 35 = 0 THEN NULL ELSE ns END AS a,
+      CASE WHEN event_id % 20 = 0 THEN NULL ELSE ns + (event_id % 7) * 36000000000000 END AS b FROM s WHERE event_id % 5 = 0),
+    both_i AS (SELECT DISTINCT * FROM i),
+    r AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN NULL ELSE 'H' END AS h,
+      CASE WHEN event_id % 4 = 1 THEN NULL ELSE bed_id END AS bed, CASE WHEN event_id % 11 = 0 THEN NULL ELSE ns END AS t FROM s),
+    m AS (SELECT r.event_id,
+        first(pid ORDER BY a NULLS FIRST, b NULLS LAST, pid, visit) FILTER (pid <> '') AS pid,
+        first(visit ORDER BY a NULLS FIRST, b NULLS LAST, pid, visit) AS visit
+      FROM r JOIN both_i ON r.h IS NOT DISTINCT FROM both_i.h AND r.bed IS NOT DISTINCT FROM both_i.bed
+        AND (a IS NULL OR a <= t) AND (b IS NULL OR t < b) WHERE t IS NOT NULL GROUP BY 1)
+    SELECT r.event_id, way, coalesce(pid, '') AS pid, coalesce(visit, '') AS visit_id
+    FROM r CROSS JOIN (VALUES ('auto'), ('lists'), ('sorted')) w(way) LEFT JOIN m USING (event_id)"""
+)
+def attributed_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ways to the patients of rows: keys and starts that are NULL, overlapping, empty, open and equal intervals."""
+    seen = event_sightings(spark, sf_dir)
+    n = F.col("event_id")
+    intervals = seen.where(n % 5 == 0).select(
+        F.when(n % 3 != 0, F.col("hospital")).alias("hospital"), "bed_unit", F.when(n % 4 != 0, F.col("bed_id")).alias("bed_id"),
+        F.when(n % 6 == 0, F.lit("")).otherwise(F.col("pid")).alias("pid"), "visit_id",
+        *[F.lit("").alias(c) for c in ("first_name", "last_name", "middle_initial")],
+        F.when(n % 35 != 0, F.col("start_ns")).alias("start_ns"),
+        F.when(n % 20 != 0, F.col("start_ns") + (n % 7) * (36 * 10**12)).alias("end_ns"),
+    )
+    intervals = intervals.unionByName(intervals.where(F.col("start_ns").isNull()))
+    rows = seen.select(
+        "event_id", F.when(n % 2 != 0, F.col("hospital")).alias("hospital"), "bed_unit",
+        F.when(n % 4 != 1, F.col("bed_id")).alias("bed_id"), F.when(n % 11 != 0, F.col("start_ns")).alias("start_t_ns"),
+        *[F.lit("").alias(c) for c in patients.FILL],
+    )
+    out = [
+        patients.attribute_patient(rows, intervals, method=way).select("event_id", F.lit(way).alias("way"), "pid", "visit_id")
+        for way in ("auto", "lists", "sorted")
+    ]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 # ---------------------------------------------------------------- observation tables
 
 
@@ -405,21 +446,59 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderstatus || '_' || o_orderpriority[1:1] AS bed_id, count(*) AS n, round(sum(o_totalprice), 2) AS total
-    FROM orders WHERE o_orderkey % 4 IN (1, 2) GROUP BY 1"""
+    """SELECT o_orderstatus || '_' || o_orderpriority[1:1] AS bed_id, count(*) AS n,
+      round(sum(CASE WHEN o_orderkey % 4 = 0 THEN o_totalprice - 1 ELSE o_totalprice END), 2) AS total
+    FROM orders WHERE o_orderkey % 4 IN (0, 1, 2) GROUP BY 1"""
 )
 def loaded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four numbered batches written, one of them twice; two of them read back."""
+    """Four numbered batches, each with the rows of the one before at smaller prices, one written twice; two of them
+    read back: of the rows that both have, those of the first stay."""
     path = scratch_dir(spark)
     rows = order_rows(spark, sf_dir)
+    cheaper = rows.withColumns({"values_num": F.transform("values_num", lambda v: v - 1), "_batch": F.col("_batch") + 1})
+    rows = rows.unionByName(cheaper).withColumn("msg_idx", F.lit(0).cast("bigint"))
     for batch in (0, 1, 2, 3, 1):
         table_sink.write_batch(rows.where(F.col("_batch") == batch), path, batch)
-    loaded = table_source.load_batches(spark, path, 1, 2, observations.OBSERVATION_SCHEMA)
+    loaded = table_source.load_batches(spark, path, 1, 2)
     return loaded.groupBy("bed_id").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum(F.get("values_num", F.lit(0))), 2).alias("total")
     )
 
 
+@query(
+    """SELECT o_orderstatus || '_' || o_orderpriority[1:1] AS bed_id, count(*) AS n, round(sum(o_totalprice), 2) AS total
+    FROM orders GROUP BY 1"""
+)
+def appended_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows appended twice to one table, whose files have no numbers, and read back; within a file the first row of
+    those that differ in their values only stays."""
+    path = scratch_dir(spark)
+    rows = order_rows(spark, sf_dir).withColumn("row_idx", F.lit(0).cast("bigint"))
+    cheaper = rows.withColumns({"values_num": F.transform("values_num", lambda v: v - 1), "row_idx": F.lit(1).cast("bigint")})
+    both = rows.unionByName(cheaper).repartition(4, "control_id")
+    table_sink.write_observations(both.where("_batch < 2"), path)
+    table_sink.write_observations(both.where("_batch >= 2"), path)
+    return table_source.load_batches(spark, path).groupBy("bed_id").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum(F.get("values_num", F.lit(0))), 2).alias("total")
+    )
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS control_id, 'F_1' AS bed_id, '' AS bed_unit, o_totalprice AS price
+    FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority[1:1] = '1'"""
+)
+def loaded_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bed read from a table written per bed, and its folder read as a file of a single bed."""
+    path = scratch_dir(spark)
+    table_sink.write_by_bed(order_rows(spark, sf_dir), path)
+    bed = table_source.load_bed(spark, path, "H", "", "F_1")
+    single = scratch_dir(spark)
+    bed.write.parquet(single)
+    key, rows = table_source.load_bed_file(spark, single)
+    rows = rows.where(F.lit(key == ("H", "", "F_1")))
+    return rows.select("control_id", "bed_id", "bed_unit", F.get("values_num", F.lit(0)).alias("price"))
+
+
 @query(
     """WITH o AS (SELECT *, o_orderstatus || '_' || o_orderpriority[1:1] AS bed_id FROM orders),
     k AS (SELECT bed_id FROM o GROUP BY 1 ORDER BY 1 LIMIT 3 OFFSET 2)
@@ -574,16 +653,33 @@ def record_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT doc_id % 5 AS kind, count(*) AS n, CAST(max(CASE WHEN doc_id % 5 = 0 THEN -128 WHEN doc_id % 5 = 1 THEN -2048
-      WHEN doc_id % 5 = 2 THEN -32768 WHEN doc_id % 5 = 3 THEN -8388608 END) AS BIGINT) AS invalid FROM documents GROUP BY 1"""
+    f"""WITH {_SAMPLES_SQL}
+    SELECT CAST(label AS BIGINT) AS label, n_samples, n_samples AS written, '16' AS fmt FROM gains"""
+)
+def exported_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header and sample tables of records written and read back: samples per record in both."""
+    path = scratch_dir(spark)
+    rows = vectors(spark, sf_dir).withColumns({"bed_unit": F.lit("U"), "bed_id": F.concat(F.lit("B"), F.col("label") % 3)})
+    records.export_records(rows, path, ["label"], prefix=F.lit("R"))
+    headers = spark.read.parquet(f"{path}/headers").select("label", "n_samples", "fmt")
+    samples = spark.read.parquet(f"{path}/samples").groupBy("label").agg(F.sum(F.size("digital")).alias("written"))
+    return headers.join(samples, "label")
+
+
+@query(
+    """SELECT lang, fmt, count(*) AS n, CAST(lo AS BIGINT) AS low, CAST(hi AS BIGINT) AS high, CAST(bad AS BIGINT) AS invalid
+    FROM documents JOIN (VALUES (0, '80', -128, 127, -128), (1, '212', -2048, 2047, -2048), (2, '16', -32768, 32767, -32768),
+      (3, '24', -8388608, 8388607, -8388608), (4, '32', -2147483648, 2147483647, -2147483648),
+      (5, '8', -2147483648, 2147483647, NULL)) f(k, fmt, lo, hi, bad) ON strlen(text) % 6 = k GROUP BY ALL"""
 )
 def digital_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Format names of a column looked up for their digital range."""
-    kind = F.col("doc_id") % 5
+    """Digital ranges of formats, the format picked by the bytes of each text; `8` has no value for missing samples."""
+    kind = F.octet_length("text") % 6
     fmt = F.lit("8")
-    for n, name in enumerate(("80", "212", "16", "24")):
+    for n, name in enumerate(("80", "212", "16", "24", "32")):
         fmt = F.when(kind == n, F.lit(name)).otherwise(fmt)
-    rows = table(spark, sf_dir, "documents").select(
-        kind.alias("kind"), wave.digital_range(fmt).alias("r")
+    rows = table(spark, sf_dir, "documents").select("lang", fmt.alias("fmt"), wave.digital_range(fmt).alias("r"))
+    return rows.groupBy("lang", "fmt").agg(
+        F.count(F.lit(1)).alias("n"), F.max("r.digital_min").alias("low"), F.max("r.digital_max").alias("high"),
+        F.max("r.invalid").cast("bigint").alias("invalid"),
     )
-    return rows.groupBy("kind").agg(F.count("r").alias("n"), F.max("r.invalid").alias("invalid"))

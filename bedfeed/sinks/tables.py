@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from bedfeed.operators.observations import OBSERVATION_SCHEMA, conform
 
 BED = ("hospital", "bed_unit", "bed_id")
+# Where a row stood in its file; tables keep these columns when the rows have them, so that loaders know the first.
+ROW_ORDER = ("msg_idx", "obr_idx", "row_idx")
 
 
 def fixed_columns(rows: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """The fixed schema; partition columns outside it are kept when named."""
+    """The fixed schema; named columns outside it and the order of the rows are kept."""
+    extra = (*extra, *[c for c in ROW_ORDER if c in rows.columns and c not in extra])
     return rows.select(*conform(rows), *[F.col(c) for c in extra if c not in OBSERVATION_SCHEMA.names])
 
 

@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bedfeed.operators.observations import OBSERVATION_SCHEMA, dedup_observations
-from bedfeed.sinks.tables import BED
+from bedfeed.sinks.tables import BED, ROW_ORDER
 
-_TRAILING_NUMBER = re.compile(r"-(\d+)\.[^-/]*$")
-_BATCH_FOLDER = re.compile(r"/batch_id=(\d+)/")
+# The number of a batch folder, or the one at the end of a file name.
+_BATCH_FOLDER = r"/batch_id=(\d+)/"
+_TRAILING_NUMBER = r"-(\d+)\.[^-/]*$"
 
 
-def file_number(path: str) -> int | None:
-    """Batch folder number, or the number at the end of a file name."""
-    found = _BATCH_FOLDER.search(path) or _TRAILING_NUMBER.search(path)
-    return int(found.group(1)) if found else None
+def file_number(path: Column) -> Column:
+    """Batch folder number, or the number at the end of a file name; NULL for other files."""
+    found = [F.regexp_extract(path, pattern, 1) for pattern in (_BATCH_FOLDER, _TRAILING_NUMBER)]
+    return F.coalesce(*[f.try_cast("bigint") for f in found])
 
 
 def slice_bounds(total: int, start: int, count: int | None) -> tuple[int, int]:
@@ -33,20 +32,47 @@ def load_batches(
     spark: SparkSession, path: str, file_start: int = 0, num_files: int | None = None,
     schema: T.StructType | None = None, dedup: bool = True,
 ) -> DataFrame:
-    """Read a run of numbered batches, in number order, and drop duplicate rows.
+    """Read a run of batches, in number order, and drop duplicate rows, keeping the first.
 
-    Only the file list is ordered on the driver, as Spark's own listing is; files outside the slice are
-    not read.
+    All files of one number are a batch. Files without a number come after the numbered ones, each as a
+    batch of its own, in order of their names. Files outside the slice are not read: the slice is a filter
+    on file paths between its first and last batch, the only rows that reach the driver. With a schema that
+    lacks the order of the rows in their file, the first of a batch is the one with the smallest value.
     """
     reader = spark.read.option("recursiveFileLookup", True)
-    listed = (reader.schema(schema) if schema else reader).parquet(path)
-    paths = listed.inputFiles()
-    batches = sorted({n for n in map(file_number, paths) if n is not None})
-    first, last = slice_bounds(len(batches), file_start, num_files)
-    chosen = set(batches[first:last])
-    files = [p for p in paths if file_number(p) in chosen]
-    rows = spark.read.schema(listed.schema).parquet(*files) if files else listed.limit(0)
-    return dedup_observations(rows) if dedup else rows
+    rows = (reader.schema(schema) if schema else reader).parquet(path)
+    columns = rows.columns
+    file = F.col("_metadata.file_path")
+    number = F.coalesce(file_number(file), F.lit(2**63 - 1))
+    name = F.when(file_number(file).isNull(), file).otherwise("")
+    if file_start > 0 or (num_files is not None and num_files >= 0):
+        rows = slice_keys(rows, {"_number": number, "_name": name}, file_start, num_files)
+    if dedup:
+        rows = rows.select("*", number.alias("_number"), name.alias("_name"), file.alias("_file"))
+        order = ["_number", "_name", "_file", *[c for c in ROW_ORDER if c in columns]]
+        rows = dedup_observations(rows, order)
+    return rows.select(*columns)
+
+
+def _at_or_beyond(bound: tuple, keys: dict[str, Column], above: bool) -> Column:
+    found = F.lit(True)
+    for column, value in reversed(list(zip(keys.values(), bound, strict=True))):
+        found = (column > value if above else column < value) | ((column == value) & found)
+    return found
+
+
+def slice_keys(rows: DataFrame, keys: dict[str, Column], start: int, count: int | None) -> DataFrame:
+    """Rows whose key lies in a run of the sorted distinct keys.
+
+    The run is a filter on its first and last key, so keys that stand for folders or files prune those.
+    """
+    distinct = rows.select(*[c.alias(name) for name, c in keys.items()]).distinct()
+    first, last = slice_bounds(distinct.count(), start, count)
+    if last <= first:
+        return rows.limit(0)
+    ordered = distinct.orderBy(*keys)
+    low, high = (tuple(ordered.offset(n).first()) for n in (first, last - 1))
+    return rows.where(_at_or_beyond(low, keys, True) & _at_or_beyond(high, keys, False))
 
 
 def read_beds(spark: SparkSession, path: str, schema: T.StructType = OBSERVATION_SCHEMA) -> DataFrame:
@@ -77,20 +103,20 @@ def load_bed_file(spark: SparkSession, path: str) -> tuple[tuple[str, str, str],
     return tuple(keys[0]), rows
 
 
-def slice_keys(rows: DataFrame, keys: list[str], start: int, count: int | None) -> DataFrame:
-    """Rows whose key lies in a run of the sorted distinct keys."""
-    distinct = rows.select(*keys).distinct()
-    first, last = slice_bounds(distinct.count(), start, count)
-    chosen = distinct.orderBy(*keys).offset(first).limit(last - first)
-    return rows.join(chosen, keys, "left_semi")
-
-
 def load_beds(
     spark: SparkSession, path: str, file_start: int = 0, num_files: int | None = None,
     schema: T.StructType = OBSERVATION_SCHEMA,
 ) -> DataFrame:
-    """Rows of a run of beds in key order, without duplicates. All beds come in one table."""
-    rows = read_beds(spark, path, schema)
+    """Rows of a run of beds in key order, without duplicates. All beds come in one table.
+
+    Only the folders of the run are read. Of duplicates the one in the oldest file stays, and in a file the
+    first, if the schema has the order of its rows.
+    """
+    rows = spark.read.schema(schema).parquet(path)
+    blank = {c: F.coalesce(F.col(c), F.lit("")) for c in BED}
+    columns = rows.columns
+    rows = rows.select("*", F.col("_metadata.file_modification_time").alias("_written"), F.col("_metadata.file_path").alias("_file"))
     if file_start > 0 or (num_files is not None and num_files >= 0):
-        rows = slice_keys(rows, list(BED), file_start, num_files)
-    return dedup_observations(rows)
+        rows = slice_keys(rows, blank, file_start, num_files)
+    order = ["_written", "_file", *[c for c in ROW_ORDER if c in columns]]
+    return dedup_observations(rows.fillna("", list(BED)), order).select(*columns)

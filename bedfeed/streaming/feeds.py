@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bedfeed.operators.location import SiteTables
 from bedfeed.operators.observations import VALUE_COLUMNS, observations
-from bedfeed.operators.patients import BED, PERSON, attribute_patient, patient_sightings
+from bedfeed.operators.patients import BED, ORDER, PERSON, attribute_patient, patient_sightings
 from bedfeed.operators.pipeline import located_messages
 from bedfeed.operators.quality import quality_codes, verify_messages
 from bedfeed.sinks.json_rows import to_json_rows
@@ -86,12 +86,14 @@ def stream_patient_state(
 def stream_first_sightings(sightings: DataFrame) -> DataFrame:
     """First sighting of each patient per bed as a running aggregate.
 
-    Its rows are the input of ``patient_intervals``; a late earlier sighting updates its row.
+    Its rows are the input of ``patient_intervals``; a late earlier sighting updates its row. Equal times are
+    told apart as in a batch, by file, message and sighting.
     """
     rest = [c for c in PERSON if c != "pid"]
-    first = F.min(F.struct("start_ns", *rest)).alias("f")
+    order = [c for c in ORDER if c in sightings.columns]
+    first = F.min(F.struct("start_ns", *order, *rest)).alias("f")
     return sightings.groupBy(*BED, "pid").agg(first).select(
-        *BED, "pid", *[F.col(f"f.{c}").alias(c) for c in rest], F.col("f.start_ns").alias("start_ns")
+        *BED, "pid", *[F.col(f"f.{c}").alias(c) for c in (*rest, "start_ns", *order)]
     )
 
 
@@ -107,15 +109,36 @@ def stream_quality(
     messages: DataFrame, window: str = "1 minute", delay: str | None = "10 minutes",
     check_start_times: bool = False,
 ) -> DataFrame:
-    """Messages per time window and quality code."""
+    """Messages per time window and quality code.
+
+    With a ``delay`` windows are closed by a watermark. A watermark knows no rows without a time, so these are
+    left to ``stream_untimed_quality``. Without a ``delay`` they are counted here, in a window that is NULL.
+    """
     codes = quality_codes(verify_messages(messages, check_start_times)).withColumn(
         "msh_time", F.timestamp_micros(F.call_function("div", F.col("msh_time_ns"), F.lit(1000)))
     )
     if delay is not None:
         codes = codes.withWatermark("msh_time", delay)
-    return codes.groupBy(F.window("msh_time", window).alias("w"), "code").agg(
-        F.count(F.lit(1)).alias("messages")
-    ).select(F.col("w.start").alias("window_start"), "code", "messages")
+        counts = codes.groupBy(F.window("msh_time", window).alias("w"), "code")
+        start = F.col("w.start")
+    else:
+        counts = codes.groupBy(window_start(F.col("msh_time"), window).alias("w"), "code")
+        start = F.col("w")
+    return counts.agg(F.count(F.lit(1)).alias("messages")).select(start.alias("window_start"), "code", "messages")
+
+
+def window_start(time: Column, width: str) -> Column:
+    """Start of the window of a time, as ``window`` has it, but NULL for NULL."""
+    micros = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00' + interval {width})")
+    at = F.unix_micros(time)
+    return F.timestamp_micros(at - F.pmod(at, micros))
+
+
+def stream_untimed_quality(messages: DataFrame, check_start_times: bool = False) -> DataFrame:
+    """Messages without a time per quality code; the state has one row for each code."""
+    untimed = messages.where(F.col("msh_time_ns").isNull())
+    codes = quality_codes(verify_messages(untimed, check_start_times))
+    return codes.groupBy("code").agg(F.count(F.lit(1)).alias("messages"))
 
 
 def stream_json(messages: DataFrame) -> DataFrame:

@@ -56,7 +56,31 @@ def test_slice_bounds():
     assert source.slice_bounds(10, 20, 3) == (9, 10)
     assert source.slice_bounds(10, 4, 2) == (4, 6)
     assert source.slice_bounds(10, 4, -1) == (4, 10)
-    assert source.file_number("/x/a-12.parquet") == 12 and source.file_number("/x/batch_id=3/p.parquet") == 3
+
+
+def test_file_numbers(spark):
+    paths = ["/x/a-12.parquet", "/x/batch_id=3/p.parquet", "/x/part-00000-0c1f-c000.snappy.parquet"]
+    found = spark.createDataFrame([(p,) for p in paths], "p string").select(source.file_number(F.col("p")).alias("n"))
+    assert [r["n"] for r in found.collect()] == [12, 3, None]
+
+
+def test_first_rows_stay_whatever_their_values(spark, tmp_path):
+    path = str(tmp_path / "batches")
+    for n, value in enumerate((9.0, 1.0, 5.0)):
+        sink.write_batch(rows(spark, [("1", "I", [value])]), path, n)
+    assert [r["values_num"] for r in source.load_batches(spark, path).collect()] == [[9.0]]
+    assert [r["values_num"] for r in source.load_batches(spark, path, 1).collect()] == [[1.0]]
+    assert [r["values_num"] for r in source.load_batches(spark, path, 2, 5).collect()] == [[5.0]]
+    plain = str(tmp_path / "plain")
+    sink.write_observations(rows(spark, [("1", "I", [9.0]), ("2", "I", [2.0])]), plain)
+    assert source.load_batches(spark, plain).count() == 2
+    beds = str(tmp_path / "beds")
+    for value in (9.0, 1.0):
+        sink.write_by_bed(rows(spark, [("1", "I", [value]), ("2", "I", [value])]), beds)
+    loaded = source.load_beds(spark, beds, 1, 1)
+    assert [(r["bed_id"], r["values_num"]) for r in loaded.collect()] == [("2", [9.0])]
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan
 
 
 def test_dedup_keeps_first(spark):
