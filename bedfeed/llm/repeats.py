@@ -91,7 +91,8 @@ def _cells(docs: DataFrame, length: int) -> DataFrame:
         known[:-1] |= again[1:]
         repeated = again.copy()
         repeated[1:] &= cell[1:] == cell[:-1]
-        key = np.where(again, mix(anchor ^ mix(cell)), anchor)
+        # What is repeated needs no comparison, so it is dealt out by its place.
+        key = np.where(again, mix(anchor ^ mix(np.where(repeated, doc.astype(np.uint64) ^ mix(start.astype(np.uint64)), cell))), anchor)
         return pa.RecordBatch.from_arrays(
             [*(pa.array(x.view(np.int64)) for x in (key, anchor, cell)), pa.array(doc), pa.array(start.astype(np.int32)),
              pa.array(windows.astype(np.int32)), pa.array(known), pa.array(repeated)],
