@@ -274,12 +274,20 @@ _ERRORS = {
 }
 
 
-def parse_messages(df: DataFrame, message: str = "message") -> DataFrame:
+DEPTHS = ("fields", "header", "signals")
+
+
+def parse_messages(df: DataFrame, message: str = "message", depth: str = "signals") -> DataFrame:
     """Typed message rows: header, patient identity, raw PV1.3, signals, and the first error found.
 
     Columns besides those of ``df`` (without the text): ``segments, seg_names, missing_segments, msh,
     pid_fields, pv1_fields, obrs, msg_kind, signals`` and the header and patient columns.
+
+    ``depth`` says how far messages are read, and so which errors can be found: ``fields`` stops at segments
+    and groups (no header and no signal columns), ``header`` leaves out the signals.
     """
+    if depth not in DEPTHS:
+        raise ValueError(f"unknown depth {depth!r}: use one of {DEPTHS}")
     text = F.ltrim(F.col(message), F.lit("\r\n"))
     keep = [c for c in df.columns if c != message]
     split = df.select(
@@ -301,9 +309,19 @@ def parse_messages(df: DataFrame, message: str = "message") -> DataFrame:
     )
     msh, pid, pv1 = F.col("msh"), F.col("pid_fields"), F.col("pv1_fields")
     required = F.array(*[F.lit(s) for s in REQUIRED_SEGMENTS])
+    parts = parts.select("*", F.array_except(required, F.col("seg_names")).alias("missing_segments"))
+    structure = {
+        "NOT_MSH_FIRST": ~F.col("starts_msh"),
+        "MISSING_SEGMENT": F.size("missing_segments") > 0,
+        "OBX_WITHOUT_OBR": F.col("orphan_obx"),
+    }
+    if depth == "fields":
+        kept = [c for c in parts.columns if c not in ("starts_msh", "orphan_obx")]
+        coded = parts.select(*kept, _first_error(structure).alias("error_code"))
+        return _with_message(compute_once(coded, {"obrs": F.col("obrs"), "error_code": F.col("error_code")}))
+    signals = [_signals(F.col("obrs")).alias("signals")] if depth == "signals" else []
     texts = parts.select(
         "*",
-        F.array_except(required, F.col("seg_names")).alias("missing_segments"),
         hl7.field(msh, 2).alias("_msh3"),
         times.fix_time(hl7.field(msh, 6)).alias("msh_time_text"),
         hl7.field(msh, 8).alias("_msh9"),
@@ -317,7 +335,7 @@ def parse_messages(df: DataFrame, message: str = "message") -> DataFrame:
         hl7.field(pv1, 3).alias("location_text"),
         hl7.field(pv1, 19).alias("_pv119"),
         hl7.components(hl7.field(F.get("obrs", F.lit(0))["obr"], 4)).alias("_obr4"),
-        _signals(F.col("obrs")).alias("signals"),
+        *signals,
     )
     listed = texts.select(
         "*",
@@ -341,34 +359,43 @@ def parse_messages(df: DataFrame, message: str = "message") -> DataFrame:
         _patient(*[F.col(c) for c in ("_mrn", "_pid3", "_name", "_pid5", "_pid18", "_pv119")]).alias("patient"),
     )
     oru = F.col("_oru")
-    checks = {
-        "NOT_MSH_FIRST": ~F.col("starts_msh"),
-        "MISSING_SEGMENT": F.size("missing_segments") > 0,
-        "OBX_WITHOUT_OBR": F.col("orphan_obx"),
+    checks = structure | {
         "NO_OBR": oru & (F.size("obrs") == 0),
         "UNKNOWN_OBR_TYPE": oru & F.col("msg_kind").isNull(),
         "UNKNOWN_MESSAGE_TYPE": F.col("msg_kind").isNull(),
         "BAD_PATIENT_ID": F.col("patient.bad_mrn"),
         "BAD_PATIENT_NAME": F.col("patient.bad_name"),
-        "BAD_SIGNAL_NAME": F.exists("signals", lambda s: s["bad_names"]),
-        "BAD_UNIT": F.exists("signals", lambda s: s["bad_units"]),
-        "BAD_TIME": _bad_time(F.col("msh_time_text"), F.col("msh_time_ns"))
-        | F.exists("signals", lambda s: s["bad_times"]),
     }
+    bad_time = _bad_time(F.col("msh_time_text"), F.col("msh_time_ns"))
+    if depth == "signals":
+        checks["BAD_SIGNAL_NAME"] = F.exists("signals", lambda s: s["bad_names"])
+        checks["BAD_UNIT"] = F.exists("signals", lambda s: s["bad_units"])
+        bad_time = bad_time | F.exists("signals", lambda s: s["bad_times"])
+    checks["BAD_TIME"] = bad_time
+    drop = ("patient", "starts_msh", "orphan_obx", "_oru")
+    once = (*HEADER, *PERSON, *(["signals"] if signals else []), "error_code")
+    return _with_message(
+        compute_once(
+            typed.select(
+                *[c for c in typed.columns if c not in drop],
+                *[F.col(f"patient.{c}").alias(c) for c in PERSON],
+                _first_error(checks).alias("error_code"),
+            ),
+            {c: F.col(c) for c in once},
+        )
+    )
+
+
+def _first_error(checks: dict[str, Column]) -> Column:
     code = F.lit(None).cast("string")
     for name, condition in reversed(checks.items()):
         code = F.when(condition, F.lit(name)).otherwise(code)
+    return code
+
+
+def _with_message(coded: DataFrame) -> DataFrame:
     text_of = F.create_map(*[F.lit(x) for kv in _ERRORS.items() for x in kv])
-    drop = ("patient", "starts_msh", "orphan_obx", "_oru")
-    out = compute_once(
-        typed.select(
-            *[c for c in typed.columns if c not in drop],
-            *[F.col(f"patient.{c}").alias(c) for c in PERSON],
-            code.alias("error_code"),
-        ),
-        {c: F.col(c) for c in (*HEADER, *PERSON, "signals", "error_code")},
-    )
-    return out.withColumn(
+    return coded.withColumn(
         "error_msg",
         F.when(
             F.col("error_code") == "MISSING_SEGMENT",

@@ -9,30 +9,38 @@ from bedfeed.operators.messages import parse_messages, quarantine, valid
 from bedfeed.operators.observations import observations
 from bedfeed.operators.patients import attribute_patient, patient_sightings
 from bedfeed.operators.quality import verify_messages
-from bedfeed.sources.feed import scan_feed, split_messages
+from bedfeed.session import scratch_dir
+from bedfeed.sources.feed import message_rows, scan_feed, split_messages
 from bedfeed.sources.state import update_state
 
 
-def located_messages(messages: DataFrame, site: SiteTables) -> DataFrame:
+def located_messages(messages: DataFrame, site: SiteTables, depth: str = "signals") -> DataFrame:
     """Message texts to parsed messages with their location."""
-    return locate_messages(parse_messages(messages), site)
+    return locate_messages(parse_messages(messages, depth=depth), site)
 
 
-def read_messages(spark: SparkSession, root: str, site: SiteTables) -> DataFrame:
-    """A feed folder to parsed messages with their location."""
-    return located_messages(split_messages(scan_feed(spark, root)), site)
+def read_messages(
+    spark: SparkSession, root: str, site: SiteTables, extension: str = ".hl7", separator: str | None = None
+) -> DataFrame:
+    """A feed folder to parsed messages with their location. With a separator, files are read by many tasks."""
+    files = scan_feed(spark, root, extension, separator)
+    return located_messages(split_messages(files) if separator is None else message_rows(files), site)
 
 
 def read_observations(
     spark: SparkSession, root: str, site: SiteTables, state_path: str | None = None,
-    version: int | None = None,
+    version: int | None = None, extension: str = ".hl7", separator: str | None = None,
 ) -> dict[str, DataFrame]:
     """A feed folder to its tables: ``observations``, ``sightings``, ``quarantine`` and ``quality``.
 
-    With ``state_path`` the patient state is advanced first, and blank patient columns of the
+    Messages are parsed once: the parsed table is written to the scratch folder, and all results come from
+    it. With ``state_path`` the patient state is advanced first, and blank patient columns of the
     observations are filled from it. Admission messages give sightings but no observations.
     """
-    messages = read_messages(spark, root, site)
+    parsed = read_messages(spark, root, site, extension, separator)
+    path = scratch_dir(spark)
+    parsed.write.parquet(path)
+    messages = spark.read.schema(parsed.schema).parquet(path)
     sightings = patient_sightings(messages)
     rows = observations(messages)
     if state_path is not None:

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bedfeed.functions import times, values
 from bedfeed.operators import fields, location, messages, observations, patients, quality
-from bedfeed.operators.pipeline import located_messages
+from bedfeed.operators.pipeline import located_messages, read_observations
 from bedfeed.plans import synth
 from bedfeed.plans.base import query
 from bedfeed.plans.synth import table
-from bedfeed.session import scratch_dir, spread
+from bedfeed.session import compute_once, scratch_dir, spread
 from bedfeed.sinks.json_rows import to_json_rows
 from bedfeed.sources import feed
 
@@ -40,10 +41,10 @@ def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "events"), "event_id")
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_messages(spark: SparkSession, sf_dir: str, depth: str = "signals") -> DataFrame:
     """Parsed and located messages of all events."""
     texts = synth.messages_from_events(event_table(spark, sf_dir))
-    return located_messages(texts, synth.site_tables(spark, sf_dir))
+    return located_messages(texts, synth.site_tables(spark, sf_dir), depth)
 
 
 @query(
@@ -91,7 +92,7 @@ def leaf_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def message_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = synth.messages_from_events(event_table(spark, sf_dir))
-    parsed = messages.valid(messages.parse_messages(texts))
+    parsed = messages.valid(messages.parse_messages(texts, depth="header"))
     return parsed.groupBy("msg_kind", "hl7_event").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -102,7 +103,7 @@ def message_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def header_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = synth.messages_from_events(event_table(spark, sf_dir))
-    return messages.header(messages.parse_messages(texts)).select(
+    return messages.header(messages.parse_messages(texts, depth="header")).select(
         "control_id", "msh_time_ns", "send_app", "deployment", "profile", "patient_class", "location_text"
     )
 
@@ -115,7 +116,7 @@ def header_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def message_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header rows with resolved location and patient identity."""
-    return observations.header_rows(event_messages(spark, sf_dir)).groupBy(
+    return observations.header_rows(event_messages(spark, sf_dir, "header")).groupBy(
         "hospital", "bed_unit", "bed_id", "pid", "visit_id", "first_name", "last_name", "msh_time_ns"
     ).agg(F.count(F.lit(1)).alias("n"))
 
@@ -148,7 +149,7 @@ def field_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Field query over all segment kinds, as text lines."""
     texts = synth.messages_from_events(event_table(spark, sf_dir))
     wanted = ["OBR.4", "OBX.3", "MSH.1", "MSH.10", "PID.5", "EVN.1"]
-    return fields.extract_fields(messages.parse_messages(texts), wanted).select("msg_idx", "kind", "line")
+    return fields.extract_fields(messages.parse_messages(texts, depth="fields"), wanted).select("msg_idx", "kind", "line")
 
 
 @query(
@@ -160,7 +161,7 @@ def field_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def field_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Field query with one column per field."""
     texts = synth.messages_from_events(event_table(spark, sf_dir))
-    wide = fields.extract_wide(messages.parse_messages(texts), ["PV1.3", "OBR.10"], only_usable=True)
+    wide = fields.extract_wide(messages.parse_messages(texts, depth="header"), ["PV1.3", "OBR.10"], only_usable=True)
     return wide.groupBy(F.coalesce(F.col("`PV1.3`"), F.col("`_OBR.10`")).alias("location"), "kind").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -520,4 +521,124 @@ def converted_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def bed_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct beds per hospital and unit seen in the feed."""
-    return location.bed_inventory(messages.valid(event_messages(spark, sf_dir)))
+    return location.bed_inventory(messages.valid(event_messages(spark, sf_dir, "header")))
+
+
+# ---------------------------------------------------------------- files, fields and times
+
+
+@query(
+    """SELECT 'room=' || (4100 + user_id % 25) AS bed_key, count(DISTINCT (year(ts), month(ts))) AS files,
+      TRUE AS ordered FROM events GROUP BY 1"""
+)
+def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files per bed folder, counted and put in order."""
+    files = feed.scan_feed(spark, write_feed(spark, sf_dir), ".txt")
+    counts = feed.file_counts(files)
+    in_order = W.partitionBy("bed_key").orderBy("place")
+    placed = feed.ordered_files(files).select("bed_key", "seg_id", "path", F.monotonically_increasing_id().alias("place"))
+    steps = placed.withColumn("last", F.lag(F.struct("seg_id", "path")).over(in_order))
+    good = steps.groupBy("bed_key").agg(F.bool_and(F.coalesce(F.col("last") <= F.struct("seg_id", "path"), F.lit(True))).alias("ordered"))
+    return counts.join(good, "bed_key")
+
+
+@query(
+    f"""WITH {EVENTS_SQL}, n AS (SELECT count(*) + count(*) FILTER (event_type IN ('view', 'click', 'error')) AS n FROM e)
+    SELECT TRUE AS same, count(*) AS n FROM (
+      SELECT event_id FROM e UNION ALL SELECT event_id FROM e WHERE event_type IN ('view', 'click', 'error'))"""
+)
+def split_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of files read whole and read by pieces: their numbers and texts agree."""
+    events = table(spark, sf_dir, "events")
+    texts = synth.messages_from_events(events).select("msg_idx", "message")
+    shown = events.where(F.col("event_type").isin("view", "click", "error")).select("event_id")
+    again = texts.join(shown, F.col("event_id") == F.col("msg_idx")).drop("event_id")
+    path = scratch_dir(spark)
+    rows = texts.unionByName(again).repartition(7, "msg_idx")
+    rows.select(F.concat(F.translate("message", "\r", "\n"), F.lit("\n")).alias("value")).write.text(path)
+    whole = feed.split_messages(feed.scan_feed(spark, path, ".txt"))
+    pieces = feed.message_rows(feed.scan_feed(spark, path, ".txt", "\n\n"))
+    keys = ["path", "msg_idx"]
+    a = whole.select(*keys, F.md5(F.btrim("message", F.lit("\n"))).alias("a"))
+    b = pieces.select(*keys, F.md5("message").alias("b"))
+    return a.join(b, keys, "full").groupBy(F.col("a").eqNullSafe(F.col("b")).alias("same")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"""WITH {EVENTS_SQL}
+    SELECT 'observations' AS kind, count(*) AS n, count(DISTINCT user_id) AS patients
+      FROM e, range(4) r(i) WHERE i < CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 4 WHEN 'error' THEN 2 ELSE 0 END
+    UNION ALL SELECT 'sightings', 2 * count(*) + count(*) FILTER (event_type = 'click'), NULL FROM e
+    UNION ALL SELECT 'quality', count(*), NULL FROM e WHERE event_type IN ('view', 'click', 'error')"""
+)
+def read_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way from files to tables, run twice on the same files so that the state has two versions."""
+    path, state = write_feed(spark, sf_dir), scratch_dir(spark)
+    site = synth.site_tables(spark, sf_dir)
+    read_observations(spark, path, site, state, extension=".txt")
+    found = read_observations(spark, path, site, state, extension=".txt")
+    none = F.lit(None).cast("bigint")
+    out = found["observations"].agg(F.count(F.lit(1)).alias("n"), F.countDistinct("pid").alias("patients")).withColumn("kind", F.lit("observations"))
+    for kind in ("sightings", "quality"):
+        out = out.unionByName(found[kind].agg(F.count(F.lit(1)).alias("n")).select("n", none.alias("patients"), F.lit(kind).alias("kind")))
+    return out
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE (epoch_us(ts) // 1000000) * 1000000 END AS micros,
+      CASE WHEN event_id % 3 = 0 THEN '' ELSE 'MDC|' || event_type END AS unit, '' AS beyond FROM events"""
+)
+def field_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed fields of a segment by number: a time and a list, both blank at times, and a place beyond the end."""
+    time = F.concat(F.date_format("ts", "yyyyMMddHHmmss"), F.lit("+0000"))
+    unit = F.when(F.col("event_id") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("MDC^"), "event_type"))
+    blank = F.lit("")
+    segment = F.array(
+        F.lit("OBX"), F.lit("1"), F.lit("NM"), F.lit("1^X"), blank, F.lit("1"), unit, *[blank] * 7,
+        F.when(F.col("event_id") % 4 == 0, blank).otherwise(time),
+    )
+    rows = compute_once(table(spark, sf_dir, "events").select("event_id", segment.alias("s")), {"s": F.col("s")})
+    return rows.select(
+        "event_id", F.unix_micros(values.field_or_default(F.col("s"), "OBX.14", as_string=False)).alias("micros"),
+        F.array_join(values.field_or_default(F.col("s"), "OBX.6"), "|").alias("unit"),
+        values.field_or_default(F.col("s"), "OBX.21").alias("beyond"),
+    )
+
+
+@query(
+    """SELECT CAST(sum(c) FILTER (event_id % 5 <> 4) AS BIGINT) AS ints, CAST(sum(c) FILTER (event_id % 5 <> 4) AS DOUBLE) AS floats,
+      count(*) AS texts, count(*) AS times
+    FROM (SELECT event_id, CAST(round(value * 100) AS BIGINT) AS c FROM events)"""
+)
+def converted_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole columns of texts cast; what is no number is NULL."""
+    cents = synth.cents(F.col("value")).cast("string")
+    rows = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 5 == 4, F.concat(cents, F.lit("x"))).otherwise(cents).alias("v"), synth.hl7_time(F.col("ts")).alias("t")
+    )
+    read = rows.select(
+        values.convert_column(F.col("v"), "INT").cast("bigint").alias("i"), values.convert_column(F.col("v"), "NUMERIC").alias("f"),
+        values.convert_column(F.col("v"), "STR").alias("s"), values.convert_column(F.col("t"), "DATETIME").alias("t"),
+    )
+    return read.agg(F.sum("i").alias("ints"), F.sum("f").alias("floats"), F.count("s").alias("texts"), F.count("t").alias("times"))
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 5 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.000000') END AS text,
+      CASE WHEN event_id % 5 = 0 THEN -9223372036854775808 ELSE (epoch_us(ts) // 1000000) * 1000000000 END AS epoch,
+      CASE WHEN event_id % 5 <> 0 THEN (epoch_us(ts) // 1000000) * 1000000 END AS micros FROM events"""
+)
+def time_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time fields in the three forms of output; every fifth is blank."""
+    text = F.when(F.col("event_id") % 5 != 0, F.concat(F.date_format("ts", "yyyyMMddHHmmss"), F.lit("+0000"))).otherwise("")
+    rows = compute_once(table(spark, sf_dir, "events").select("event_id", text.alias("x")), {"x": F.col("x")})
+    return rows.select(
+        "event_id", times.time_repr(F.col("x"), "text").alias("text"), times.time_repr(F.col("x"), "epoch").alias("epoch"),
+        F.unix_micros(times.time_repr(F.col("x"))).alias("micros"),
+    )
+
+
+@query(f"WITH {EVENTS_SQL} SELECT hospital, bed_unit, bed_id, loc AS location_text FROM e GROUP BY ALL")
+def bed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Location texts with the beds they stand for."""
+    return location.bed_mapping(messages.valid(event_messages(spark, sf_dir, "header")))

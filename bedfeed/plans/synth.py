@@ -6,7 +6,6 @@ and purchases are admission messages.
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -238,7 +237,6 @@ def doubtful_messages(events: DataFrame) -> DataFrame:
     return _joined(events, segments)
 
 
-@lru_cache(maxsize=4)
 def site_tables(spark: SparkSession, sf_dir: str) -> SiteTables:
     """A site with one hospital per region and one unit per nation; nation n owns room 4100 + n."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +50,6 @@ _FIXED_UNITS = {
 }
 
 
-@lru_cache(maxsize=4)
 def shaped_site(spark: SparkSession, sf_dir: str) -> location.SiteTables:
     """The derived site plus the units that the special location forms name."""
     site = synth.site_tables(spark, sf_dir)
