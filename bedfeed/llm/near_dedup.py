@@ -291,7 +291,8 @@ def links(docs: DataFrame, k: int, percent: int, classes: DataFrame) -> DataFram
     own = F.col("level").cast("long") * (1 << 32) + F.col("cut")
     others = F.concat(pieces(0, "cuts"), pieces(1, "next_cuts"), pieces(-1, "last_cuts"))
     placed = stored(member.select("doc_id", "family", own.alias("piece"), others.alias("others")))
-    texts = docs.select("doc_id", "text").join(placed, "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.select("doc_id", "text").join(placed, "doc_id")
+    texts = texts.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "piece", "_text"]).drop("_text")
     sets = _full_sets(texts.select(F.col("doc_id").alias("node"), "family", "piece", "others", "text"), k)
     met = sets.withColumn("other", F.explode("others")).select(
         "node", "family", "piece", "registers", "hashes",
@@ -307,8 +308,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     smallest doc_id that links of at least ``percent`` in a hundred reach, and ``kept`` says that it is the own one.
 
     A text without words, an empty one and null have no shingles and are linked with nothing. Fewer words than
-    ``k`` are one shingle. Rows that repeat a doc_id are one document: they get the same component if their texts
-    are equal or linked. A null doc_id with words is linked through its text like any other, but never names a
+    ``k`` are one shingle. Rows that repeat a doc_id are one document, linked with all that any of their texts is
+    linked with, if that doc_id is the smallest with these shingles. A null doc_id with words is linked through its text like any other, but never names a
     component; if nothing else is there, its component is null and it is kept.
     """
     drawn = stored(sketches(docs, k))
@@ -317,7 +318,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     classes = named.groupBy(*key).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
     more = stored(classes.where("copies > 1").select(*key, "class_id"))
     owned = stored(drawn.join(more, key, "left").withColumn("class_id", F.when(F.col("n_shingles") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id"))))
-    firsts = owned.where("n_shingles > 0 and doc_id = class_id").select("doc_id", "n_shingles", "registers").dropDuplicates(["doc_id"])
+    firsts = owned.where("n_shingles > 0 and doc_id = class_id").dropDuplicates(["doc_id", "set_a", "set_b"]).select("doc_id", "n_shingles", "registers")
     found = components(links(docs, k, percent, firsts)).select(F.col("node").alias("class_id"), "component")
     out = owned.select("doc_id", "n_shingles", "class_id").join(found, "class_id", "left")
     component = F.coalesce("component", "class_id")
