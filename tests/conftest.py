@@ -24,11 +24,11 @@ def site(spark):
     return SiteTables.from_maps(
         spark,
         beds={
-            "T4??": "NT4", "T4??-01": "NT4", "4120-??": "20ICU", "ED??": "ED_UNIT", "EDH??": "ED_UNIT",
+            "K7??": "WK7", "K7??-01": "WK7", "4120-??": "20ICU", "ED??": "ED_UNIT", "EDH??": "ED_UNIT",
             "NCPACU??": "NC_PACU", "N??": "ED_UNIT", "WH-TEST": "TEST",
         },
         units={
-            "4TN": ("NORTH", "4T NORTH ICU"), "NT4": ("NORTH", "4T NORTH ICU"), "G5ICU": ("NORTH", "5G ICU"),
+            "4TN": ("NORTH", "7K WEST ICU"), "WK7": ("NORTH", "7K WEST ICU"), "G5ICU": ("NORTH", "5G ICU"),
             "20ICU": ("MID", "20ICU"), "41ICU": ("MID", "41ICU"), "PICU": ("MID", "PICU"),
             "ED_UNIT": ("CREEK", "ED_UNIT"), "NC_PACU": ("CREEK", "NC_PACU"), "TEST": ("TEST", "TEST"),
             "NLICU": ("ORTHO", "NLICU"), "EHPOHA": ("ORTHO", "EHPOHA"), "NLPACU": ("ORTHO", "NLPACU"),
@@ -40,11 +40,11 @@ def site(spark):
 
 
 WAVE = "\n".join([
-    "MSH|^~\\&|MON|SITE|||20230615120000.250-0400||ORU^R01|C1|P|2.6|||||||||PROF^V~OTHER",
-    "PID|1||MRN1^^^A^MR||DOE^JANE|||||||||||||V1",
-    "PV1|1|I|NORTH-4TN-T434",
-    "OBR|1|||69121^MDC_OBS_WAVE_CTS^MDC|||20230615120000.000-0400|20230615120000.006-0401||NORTH-4TN-T434|||E1||||||||DEV",
-    "OBX|1|NA|1^MDC_ECG_ELEC_POTL_I^MDC|1.0|1^2^x|4^mV^U|0-1|||||||20230615120000.000-0400|||||||77",
-    "OBX|2|NM|2^MDC_ATTR_TIME_PD_SAMP^MDC|1.1|2.0|ms||||||||20230615120000.000-0400",
+    "MSH|^~\\&|BEDSIDE|WARD|||20310907081500.250-0400||ORU^R01|C1|P|2.5|||||||||PROF^V~OTHER",
+    "PID|1||R7701^^^A^MR||ROWAN^ALMA|||||||||||||V1",
+    "PV1|1|I|NORTH-4TN-K718",
+    "OBR|1|||69121^MDC_OBS_WAVE_CTS^MDC|||20310907081500.000-0400|20310907081500.006-0401||NORTH-4TN-K718|||E1||||||||DEV",
+    "OBX|1|NA|1^MDC_ECG_ELEC_POTL_I^MDC|1.0|1^2^x|4^mV^U|0-1|||||||20310907081500.000-0400|||||||77",
+    "OBX|2|NM|2^MDC_ATTR_TIME_PD_SAMP^MDC|1.1|2.0|ms||||||||20310907081500.000-0400",
 ])
-ADT = "MSH|^~\\&|ADT|SITE|||20230615090000-0400||ADT^A01|A1|P|2.3\rEVN|A01\rPID|1||I||Not Admitted\rPV1|1|I|G5ICU^G505"
+ADT = "MSH|^~\\&|ADM|WARD|||20310907061000-0400||ADT^A01|A1|P|2.4\rEVN|A01\rPID|1||I||No Record\rPV1|1|I|G5ICU^G505"

@@ -10,10 +10,10 @@ from bedfeed.operators.pipeline import located_messages
 from bedfeed.sinks.json_rows import to_json_rows
 from bedfeed.sources import feed
 
-HEAD = "MSH|^~\\&|MON||||20230615120010-0400||ORU^R01|C9|P|2.6\nPID|||P9||L^F\nPV1||I|NORTH-4TN-T434\n"
+HEAD = "MSH|^~\\&|MON||||20310907081510-0400||ORU^R01|C9|P|2.5\nPID|||P9||L^F\nPV1||I|NORTH-4TN-K718\n"
 VITALS = HEAD + "\n".join([
-    "OBR|1|||182777000^monitoring of patient^SCT|||20230615120000-0400|||NORTH-4TN-T434|||E||||||||Device",
-    "OBX|1|NM|1^MDC_ECG_HEART_RATE^MDC||80|bpm||||||||20230615120000-0400",
+    "OBR|1|||182777000^monitoring of patient^SCT|||20310907081500-0400|||NORTH-4TN-K718|||E||||||||Device",
+    "OBX|1|NM|1^MDC_ECG_HEART_RATE^MDC||80|bpm||||||||20310907081500-0400",
     "OBX|2|ST|3426^^CAPSULE||M1",
     "OBX|3|ST|3426^^CAPSULE||M2",
     "OBX|4|ST|67933^GIVEN^MDC||\"\"",
@@ -49,10 +49,10 @@ def test_segments_and_leaves(spark):
 def test_header(spark, site):
     row = parse(spark, site, WAVE).first()
     assert row["error_code"] is None
-    assert (row["hospital"], row["bed_unit"], row["bed_id"]) == ("NORTH", "4T NORTH ICU", "T434-01")
-    assert (row["pid"], row["visit_id"], row["first_name"], row["last_name"]) == ("MRN1", "V1", "JANE", "DOE")
+    assert (row["hospital"], row["bed_unit"], row["bed_id"]) == ("NORTH", "7K WEST ICU", "K718-01")
+    assert (row["pid"], row["visit_id"], row["first_name"], row["last_name"]) == ("R7701", "V1", "ALMA", "ROWAN")
     assert (row["profile"], row["control_id"], row["deployment"], row["hl7_event"]) == ("PROF", "C1", "P", "R01")
-    assert row["msh_time_ns"] == 1686844800250000000
+    assert row["msh_time_ns"] == 1946549700250000000
 
 
 def test_waveform_row(spark, site):
@@ -87,7 +87,7 @@ def test_vitals(spark, site):
     seen = patients.patient_sightings(parsed).orderBy("sighting_idx").collect()
     assert (seen[0]["pid"], seen[0]["first_name"]) == ("P9", "F")
     assert [seen[1][c] for c in ("pid", "visit_id", "first_name", "last_name")] == ["M2", "V7", "ANN", "LEE"]
-    assert seen[1]["start_ns"] == 1686844800 * 10**9
+    assert seen[1]["start_ns"] == 1946549700 * 10**9
 
 
 def test_device_codes(spark, site):
@@ -114,8 +114,8 @@ def test_device_codes(spark, site):
         (VITALS.replace("L^F", "a^b^c"), "BAD_PATIENT_NAME"),
         (VITALS.replace("5^SHORT", "SHORT"), "BAD_SIGNAL_NAME"),
         (VITALS.replace("|bpm|", "|a^b|"), "BAD_UNIT"),
-        (VITALS.replace("|20230615120000-0400", "|2023"), "BAD_TIME"),
-        (VITALS.replace("NORTH-4TN-T434\nOBR", "A^B^C\nOBR"), "LOCATION_SHAPE"),
+        (VITALS.replace("|20310907081500-0400", "|2023"), "BAD_TIME"),
+        (VITALS.replace("NORTH-4TN-K718\nOBR", "A^B^C\nOBR"), "LOCATION_SHAPE"),
     ],
 )
 def test_quarantine(spark, site, text, code):
@@ -132,11 +132,11 @@ def test_leading_blank_lines_and_later_unknown_obr(spark, site):
 def test_json(spark, site):
     rows = {r["control_id"]: r["json"] for r in to_json_rows(parse(spark, site, WAVE, ADT)).collect()}
     wave = json.loads(rows["C1"])
-    assert wave[0]["values"] == ["1", "2", "x"] and wave[0]["msh_time"] == 1686844800250000000
+    assert wave[0]["values"] == ["1", "2", "x"] and wave[0]["msh_time"] == 1946549700250000000
     assert not {"pid", "visit_id", "first_name", "last_name", "middle_initial"} & set(wave[0])
     adt = json.loads(rows["A1"])
     assert len(adt) == 1 and adt[0]["hl7_type"] == ["ADT", "A01"] and "channel" not in adt[0]
-    empty = HEAD + "OBR|1|||196616^MDC_EVT_ALARM^MDC|||20230615120000-0400"
+    empty = HEAD + "OBR|1|||196616^MDC_EVT_ALARM^MDC|||20310907081500-0400"
     assert to_json_rows(parse(spark, site, empty)).first()["json"] == ""
 
 
@@ -144,7 +144,7 @@ def test_field_query(spark, site):
     text = WAVE + "\nAL1|1|DA|x^y\nAL1|2|FA|z"
     got = fields.extract_fields(parse(spark, site, text), ["msh.1", "MSH.9", "OBX.2", "PV1.3", "AL1.3", "PID.40"])
     assert [r["line"] for r in got.orderBy("line_idx").collect()] == [
-        "_OBX.2:NA", "_OBX.2:NM", "MSH.1:|\tMSH.9:ORU^R01", "PV1.3:NORTH-4TN-T434", "AL1.3:x^y", "AL1.3:z", "PID.40:",
+        "_OBX.2:NA", "_OBX.2:NM", "MSH.1:|\tMSH.9:ORU^R01", "PV1.3:NORTH-4TN-K718", "AL1.3:x^y", "AL1.3:z", "PID.40:",
     ]
     both = fields.extract_wide(parse(spark, site, text), ["OBR.13", "OBX.2", "AL1"]).orderBy("line_idx").collect()
     assert [(r["kind"], r["_OBR.13"], r["_OBX.2"]) for r in both][:3] == [
@@ -175,7 +175,7 @@ def test_quality_values(spark, site):
         ("10007004^R^cv12^10001^^^^^MON", ("MID", "CVPODS", "cv12")),
         ("10007004^R^288^10001", ("MID", "CVICU", "288")),
         ("MID-ANES-CART-AD^^^^^^^^ANES", ("MID", "MID-ANES-CART", "MID-ANES-CART-AD")),
-        ("NORTH-4TN-T434^^^^^^^^MON", ("NORTH", "4T NORTH ICU", "T434-01")),
+        ("NORTH-4TN-K718^^^^^^^^MON", ("NORTH", "7K WEST ICU", "K718-01")),
         ("ICUW^^ICU231^North Creek Hospital", ("MID", "ICUW", "231-01")),
         ("PACU^^PACU12^North Creek Hospital", ("CREEK", "NC_PACU", "NCPACU12")),
         ("ED^^EDH2^North Creek Hospital", ("CREEK", "ED_UNIT", "EDH2")),
@@ -190,7 +190,7 @@ def test_quality_values(spark, site):
         ("POHA^11", ("ORTHO", "EHPOHA", "EHPOHA11")),
         ("NLPACU^21", ("ORTHO", "NLPACU", "NLPACU21")),
         ("MID-4120-01", ("MID", "20ICU", "4120-01")),
-        ("NORTH-4TN-T434", ("NORTH", "4T NORTH ICU", "T434-01")),
+        ("NORTH-4TN-K718", ("NORTH", "7K WEST ICU", "K718-01")),
         ("WH-TEST", ("TEST", "TEST", "WH-TEST")),
         ("QQ^N28", ("CREEK", "ED_UNIT", "N28")),
     ],
@@ -209,11 +209,11 @@ def test_location_errors(spark, site):
 
 
 def test_single_lookups(spark, site):
-    beds = spark.createDataFrame([("T412", "NT4", "10001"), ("X1", "QQ", "NORTH")], "bed_id string, bed_unit string, hospital string")
+    beds = spark.createDataFrame([("K712", "WK7", "10001"), ("X1", "QQ", "NORTH")], "bed_id string, bed_unit string, hospital string")
     out = location.lookup_unit_by_bed(beds, site, default="none")
     out = location.lookup_hospital(location.lookup_canonical_unit(out, site), site).orderBy("bed_id").collect()
     assert [(r["unit_from_bed"], r["canonical_unit"], r["canonical_hospital"]) for r in out] == [
-        ("NT4", "4T NORTH ICU", "NORTH"), ("none", "", "NORTH"),
+        ("WK7", "7K WEST ICU", "NORTH"), ("none", "", "NORTH"),
     ]
     assert site.canonical_units().count() == 17
 

@@ -138,15 +138,15 @@ def test_read_observations(spark, site, folder, tmp_path):
     tables = read_observations(spark, folder, site, str(tmp_path / "state"))
     got = tables["observations"].orderBy("control_id").collect()
     assert [(r["control_id"], r["file"], r["seg_id"], r["pid"]) for r in got] == [
-        ("C1", "part-12.hl7", 12, "MRN1"), ("C2", "part-3.hl7", 3, "MRN1"), ("C3", "part-4.hl7", 4, "MRN1"),
+        ("C1", "part-12.hl7", 12, "R7701"), ("C2", "part-3.hl7", 3, "R7701"), ("C3", "part-4.hl7", 4, "R7701"),
     ]
     assert [r["error_code"] for r in tables["quarantine"].collect()] == ["NOT_MSH_FIRST"]
     assert tables["sightings"].count() == 4
-    assert {r["pid"] for r in load_state(spark, str(tmp_path / "state")).history.collect()} == {"MRN1", ""}
+    assert {r["pid"] for r in load_state(spark, str(tmp_path / "state")).history.collect()} == {"R7701", ""}
     messages = read_messages(spark, folder, site).where("error_code is null")
     beds = {(r["hospital"], r["bed_unit"]): (r["beds"], r["is_cart"]) for r in bed_inventory(messages).collect()}
-    assert beds == {("NORTH", "4T NORTH ICU"): (1, False), ("NORTH", "5G ICU"): (1, False)}
-    assert [r["bed_id"] for r in bed_mapping(messages).collect()] == ["T434-01", "G505-01"]
+    assert beds == {("NORTH", "7K WEST ICU"): (1, False), ("NORTH", "5G ICU"): (1, False)}
+    assert [r["bed_id"] for r in bed_mapping(messages).collect()] == ["G505-01", "K718-01"]
 
 
 def test_streams(spark, site, folder, tmp_path):
