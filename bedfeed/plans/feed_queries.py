@@ -246,7 +246,10 @@ def waveform_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rows_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and mean value per bed unit and channel type, from message text."""
-    rows = observations.observations(event_messages(spark, sf_dir))
+    return unit_totals(observations.observations(event_messages(spark, sf_dir)))
+
+
+def unit_totals(rows: DataFrame) -> DataFrame:
     numbers = F.coalesce("values_num", F.array().cast("array<double>"))
     return rows.select(
         "bed_unit", "channel_type",

@@ -14,6 +14,7 @@ from bedfeed.plans.base import ORACLES, query
 from bedfeed.plans.synth import table
 from bedfeed.session import scratch_dir
 from bedfeed.sources.state import load_state
+from bedfeed.sources.tables import read_beds
 from bedfeed.streaming import feeds
 
 
@@ -74,6 +75,16 @@ def stream_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return appended(waves)
 
 
+@query(ORACLES["rows_per_unit"])
+def stream_all_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all kinds written by the stream's own sink, summed up after it."""
+    path = scratch_dir(spark)
+    feeds.write_observation_stream(
+        feeds.stream_observations(stream_located(spark, sf_dir)), path, scratch_dir(spark), available_now=True
+    ).awaitTermination()
+    return feed_queries.unit_totals(read_beds(spark, path))
+
+
 @query(ORACLES["json_rows"])
 def stream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON values written by a stream."""
@@ -119,17 +130,26 @@ def stream_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patients.patient_intervals(firsts).select("bed_id", "pid", "start_ns", "end_ns")
 
 
-@query(
-    f"""WITH {feed_queries.EVENTS_SQL},
-    s AS (SELECT hospital, bed_unit, bed_id, 'P' || user_id AS pid, ns FROM e
-      UNION ALL SELECT hospital, bed_unit, bed_id, 'M' || user_id, ns FROM e WHERE event_type = 'click')
-    SELECT hospital, bed_unit, bed_id, pid, min(ns) AS start_ns FROM s GROUP BY ALL"""
-)
+def _state_sql(batches: int) -> str:
+    """First sightings of every batch and of the patient each bed had at its end, who is carried into the next."""
+    keys = "hospital, bed_unit, bed_id, pid"
+    out = f"""WITH {feed_queries.EVENTS_SQL},
+    s AS (SELECT hospital, bed_unit, bed_id, 'P' || user_id AS pid, ns, event_id % {batches} AS b FROM e
+      UNION ALL SELECT hospital, bed_unit, bed_id, 'M' || user_id, ns, event_id % {batches} FROM e WHERE event_type = 'click')"""
+    for b in range(batches):
+        carried = f" UNION ALL SELECT {keys}, start_ns FROM c{b - 1}" if b else ""
+        out += f""", f{b} AS (SELECT {keys}, min(ns) AS start_ns FROM (SELECT {keys}, ns FROM s WHERE b = {b}{carried}) GROUP BY ALL),
+    c{b} AS (SELECT * FROM f{b} QUALIFY row_number() OVER (PARTITION BY hospital, bed_unit, bed_id ORDER BY start_ns DESC, pid DESC) = 1)"""
+    return out + " " + " UNION ".join(f"SELECT * FROM f{b}" for b in range(batches))
+
+
+@query(_state_sql(3))
 def stream_patient_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Patient state advanced by a stream of messages: the history it leaves."""
-    path = scratch_dir(spark)
-    feeds.stream_patient_state(
-        stream_located(spark, sf_dir), path, scratch_dir(spark), available_now=True
-    ).awaitTermination()
-    history = load_state(spark, path).history
-    return history.select("hospital", "bed_unit", "bed_id", "pid", "start_ns")
+    """Patient state advanced by a stream of messages in three batches: the history it leaves."""
+    events, files, path = table(spark, sf_dir, "events"), scratch_dir(spark), scratch_dir(spark)
+    for batch in range(3):
+        events.where(F.col("event_id") % 3 == batch).coalesce(1).write.mode("append").parquet(files)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    messages = located_messages(synth.messages_from_events(arriving), synth.site_tables(spark, sf_dir))
+    feeds.stream_patient_state(messages, path, scratch_dir(spark), available_now=True).awaitTermination()
+    return load_state(spark, path).history.select("hospital", "bed_unit", "bed_id", "pid", "start_ns").distinct()

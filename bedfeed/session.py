@@ -68,10 +68,10 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table of few files over the cores before costly per-row work; larger tables stay as they
-    are and keep the split of their files."""
+    """Spread a table of few partitions over the cores before costly per-row work; tables that are read in as many
+    pieces as there are cores, or more, stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

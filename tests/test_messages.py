@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import ADT, WAVE
+from samples import ADT, WAVE
 
 from bedfeed.operators import fields, location, messages, observations, patients, quality
 from bedfeed.operators.pipeline import located_messages

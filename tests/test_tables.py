@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import ADT, WAVE
+from samples import ADT, WAVE
 from pyspark.sql import functions as F
 
 from bedfeed.operators import observations, waveform
