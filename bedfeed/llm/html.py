@@ -42,6 +42,12 @@ SIDE_WORDS = (
     "disqus widget toolbar pagination pager search login complementary contentinfo dialog form"
 ).split()
 _SIDE = set(SIDE_WORDS)
+# Of these, words that may also name a frame around the article, which an article or main element inside then shows.
+_FRAME = set("sidebar side header menu nav widget banner modal overlay form".split())
+# And words that hold for an article element as well: it may be a reader's comment or a teaser.
+_OTHER_ARTICLE = set("ad ads advert advertisement sponsored promo related recommended comment comments reply replies responses discussion".split())
+# A class that begins like this tells what a page has, not what the element is.
+_HAVING = {"has", "with", "no", "without", "is", "hide", "show"}
 # Closing these needs no tag: a new one, or one of the others, ends the one that is open.
 CLOSED_BY = {
     "p": {"p"} | (BLOCKS - {"html", "body"}), "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot", "thead"},
@@ -68,24 +74,29 @@ class Node:
     main: bool
 
 
-def _side(name: str, attributes: str, main: bool) -> bool:
-    """Whether an element is beside the main text."""
+def _side(name: str, attributes: str, main: bool) -> int:
+    """0 for an element that may hold main text, 1 for one that only an article inside could save, else 2."""
     if name in DROPPED or (name == "header" and not main):
-        return True
-    if name in ("html", "body", "article", "main") or not attributes:
-        return False
+        return 2
+    if name in ("html", "body", "main") or not attributes:
+        return 0
+    found: set[str] = set()
     for key, *values in _NAMES.findall(attributes):
         key, value = key.lower(), "".join(values).lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
-            return True
-        if key in ("class", "id", "role") and any(w in _SIDE for w in _WORD.findall(value)):
-            return not (name in HEADINGS and key != "role" and not {"ad", "ads", "comment", "comments"} & set(_WORD.findall(value)))
-    return False
+            return 2
+        if key in ("class", "id", "role"):
+            for token in value.split():
+                words = _WORD.findall(token)
+                if words and words[0] not in _HAVING:
+                    found.update(words)
+    found &= _OTHER_ARTICLE if name == "article" or name in HEADINGS else _SIDE
+    return 0 if not found else 1 if found <= _FRAME else 2
 
 
 def nodes_of(html: str) -> list[Node]:
     """The blocks of text of a page in order, each with its path; what is beside the main text is left out."""
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, side, main, block
+    stack: list[tuple[str, int, bool, bool]] = []  # tag, side, main, block
     out: list[Node] = []
     parts: list[str] = []
     path: tuple[str, ...] = ()
@@ -150,13 +161,16 @@ def nodes_of(html: str) -> list[Node]:
                 break
             if stack[n][0] in ("ul", "ol", "table", "dl", "div", "td", "th", "article", "section", "body", "blockquote"):
                 break
-        side, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        side, main = (stack[-1][1], stack[-1][2]) if stack else (0, False)
         block = name in BLOCKS or name in DROPPED - {"button", "label", "select", "option", "input", "math"}
         if block:
             flush()
         attributes = found[3]
-        side = side or _side(name, attributes, main)
-        main = main or name in ("article", "main") or ("role" in attributes and re.search(r"role\s*=\s*[\"']?main", attributes) is not None) or "articleBody" in attributes
+        opens = name in ("article", "main") or ("role" in attributes and re.search(r"role\s*=\s*[\"']?main", attributes) is not None) or "articleBody" in attributes
+        if opens and side == 1 and not main:
+            side = 0
+        main = main or opens
+        side = max(side, _side(name, attributes, main))
         if not attributes.rstrip().endswith("/") or name not in ("svg", "math", "path", "g", "use", "circle", "rect", "line", "polygon"):
             stack.append((name, side, main, block))
             path = (*path, name)
