@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bedfeed.llm.secrets import BASE, RULES
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACED = r"[^\x20\x09-\x0D]+"
 _PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -64,3 +66,28 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b F
 component AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM component LEFT JOIN n USING (doc_id)"""
+
+
+def _secrets() -> str:
+    """Matches and the pieces between them, added up to positions, for every rule."""
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    rules = ", ".join(f"({n}, {quoted(r.kind)}, {quoted(f'(?:{r.head})({r.tail}+)')}, {r.least})" for n, r in enumerate(RULES))
+    texts = ("string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, place) FILTER (place < %d)" % BASE, "string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, place)")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+rules(place, kind, pattern, least) AS (VALUES {rules}),
+m AS (SELECT r, place, kind, least, regexp_extract_all(t, pattern) AS found, regexp_extract_all(t, pattern, 1) AS tails, string_split_regex(t, pattern) AS gaps
+  FROM d, rules),
+e AS (SELECT r, place, kind, least, found, tails, gaps, unnest(range(1, len(found) + 1)) AS j FROM m),
+s AS (SELECT r, place, kind, length(found[j]) AS n,
+    CAST(list_sum(list_transform(gaps[1:j], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:j - 1], lambda x: length(x))), 0) AS BIGINT) AS a
+  FROM e WHERE length(tails[j]) >= least),
+g AS (SELECT r, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access, count(*) FILTER (place = 2) AS n_hex,
+    {texts[0]} AS base, {texts[1]} AS spans FROM s GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (r)"""
+
+
+SECRETS = _secrets()

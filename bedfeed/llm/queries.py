@@ -96,6 +96,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+ORACLES["op1_secret_scan"] = oracles.SECRETS
 ORACLES["op2_quality_rules"] = oracles.QUALITY
 ORACLES["op8_decontamination"] = oracles.DECONTAMINATION
 ORACLES["op9_near_duplicates"] = oracles.NEAR_DUPLICATES

@@ -7,7 +7,6 @@ from bedfeed.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 COLUMNS = {
-    "op1": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op3": "doc_id piece start n_tokens bin_id position capacity",
     "op4": "page_id url text n_chars",
     "op5": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
