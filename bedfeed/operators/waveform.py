@@ -67,21 +67,27 @@ def record_headers(
     """One row per record and channel: name, base time, rate, unit, format, gain and baseline.
 
     ``record`` lists the key columns of a record. Its base time is its earliest start. The rate comes
-    from ``fs`` or from the sampling period ``pd_samp_ms``. A channel without unit is in millivolt.
+    from ``fs`` or from the sampling period ``pd_samp_ms``; a channel whose rows have several has no rate and
+    says so in ``rate_error``. A channel without unit is in millivolt. The rows are read once.
     """
-    ranges = add_gain(channel_range(rows, [*record, channel], samples), fmt)
+    clean = waveform.finite(F.col(samples))
     rate = fs if fs is not None else F.lit(1000.0) / F.nullif(F.col("pd_samp_ms"), F.lit(0.0))
     unit = F.nullif(F.col(uom), F.lit("")) if uom else F.lit(None).cast("string")
-    described = rows.select(
-        *record, channel, F.col(start).alias("_start"), F.lit(rate).alias("_fs")
-        if not isinstance(rate, Column) else rate.alias("_fs"), unit.alias("_unit"),
+    channels = rows.select(
+        *record, channel, F.col(start).alias("_start"),
+        (rate if isinstance(rate, Column) else F.lit(rate)).alias("_fs"), unit.alias("_unit"),
+        F.array_min(clean).cast("double").alias("_low"), F.array_max(clean).cast("double").alias("_high"),
+        F.size(clean).cast("bigint").alias("_n"),
     ).groupBy(*record, channel).agg(
-        F.min("_start").alias("_start"), F.max("_fs").alias("fs"), F.min("_unit").alias("_unit")
+        F.min("_low").alias("pmin"), F.max("_high").alias("pmax"), F.sum("_n").alias("n_samples"),
+        F.min("_start").alias("_start"), F.min("_fs").alias("_least"), F.max("_fs").alias("_most"), F.min("_unit").alias("_unit"),
     )
-    per_record = described.groupBy(*record).agg(
-        F.min("_start").alias("base_ns"), F.count(F.lit(1)).alias("n_sig")
+    mixed = F.col("_least") != F.col("_most")
+    described = add_gain(channels, fmt).withColumns(
+        {"fs": F.when(mixed, F.lit(None)).otherwise(F.col("_most")), "rate_error": F.when(mixed, F.lit("MIXED_RATE"))}
     )
-    both = ranges.join(described, [*record, channel]).join(per_record, record)
+    per_record = channels.groupBy(*record).agg(F.min("_start").alias("base_ns"), F.count(F.lit(1)).alias("n_sig"))
+    both = described.join(per_record, record)
     head = prefix if prefix is not None else F.concat_ws("_", *record)
     return both.select(
         *record,
@@ -90,6 +96,7 @@ def record_headers(
         F.timestamp_micros(F.call_function("div", F.col("base_ns"), F.lit(1000))).alias("base_time"),
         "n_sig",
         "fs",
+        "rate_error",
         F.coalesce("_unit", F.lit(MILLIVOLT)).alias("units"),
         F.lit(samples_per_frame).alias("samples_per_frame"),
         F.lit(fmt).alias("fmt"),

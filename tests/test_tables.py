@@ -109,6 +109,14 @@ def test_export_records(spark, tmp_path):
     assert digital == [-32767, base, round(gain + base)]
 
 
+def test_mixed_rates(spark):
+    data = rows(spark, [("1", "I", [1.0]), ("1", "I", [2.0]), ("1", "J", [3.0])])
+    data = data.withColumns({"UoM": F.lit(""), "pd_samp_ms": F.when(F.col("start_t_ns") == 0, 2.0).otherwise(4.0)})
+    headers = {r["channel"]: r for r in waveform.record_headers(data, ["bed_id"]).collect()}
+    assert (headers["I"]["fs"], headers["I"]["rate_error"]) == (None, "MIXED_RATE")
+    assert (headers["J"]["fs"], headers["J"]["rate_error"]) == (250.0, None)
+
+
 @pytest.fixture
 def folder(tmp_path):
     """Two feeds files deep below bed folders, one at the top, and one of another kind."""
