@@ -3,6 +3,9 @@
 The vocabulary is a trie. A node that cannot go on has a failure link to the node that what is left of the word has
 reached after its longest pieces are taken off, and the number of these pieces. So a word is read once, byte by
 byte, without going back and without building pieces.
+
+The last byte of a word is a letter of its own, as in the vocabulary, which marks the last byte of the pieces that end
+a word: such a piece matches at the end of a word only, and a piece without the mark never ends one.
 """
 
 from __future__ import annotations
@@ -19,24 +22,31 @@ from bedfeed.llm.common import blocks
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 WORD_END = "</w>"
+# Added to the last byte of a word.
+LAST = 256
 # Words whose counts a task remembers before it starts anew.
 REMEMBERED = 200_000
 
 
 class Pieces:
-    """The trie of a vocabulary of byte strings, with failure links and the pieces popped on them."""
+    """The trie of a vocabulary of byte strings, with failure links and the pieces popped on them.
+
+    ``final`` are the pieces that end a word; the others are inside of words then. Without it all pieces are anywhere.
+    """
 
-    def __init__(self, vocabulary: set[bytes]) -> None:
+    def __init__(self, vocabulary: set[bytes], final: set[bytes] | None = None) -> None:
+        self.last = 0 if final is None else LAST
+        pieces = [list(p) for p in vocabulary] + [[*p[:-1], p[-1] + LAST] for p in final or ()]
         self.next: dict[int, int] = {}
         ends = [False]
-        order: list[tuple[int, int, int]] = []  # parent, byte, node
-        for piece in vocabulary:
+        order: list[tuple[int, int, int]] = []  # parent, letter, node
+        for piece in pieces:
             node = 0
-            for byte in piece:
-                key = node << 8 | byte
+            for letter in piece:
+                key = node << 9 | letter
                 if key not in self.next:
                     self.next[key] = len(ends)
-                    order.append((node, byte, len(ends)))
+                    order.append((node, letter, len(ends)))
                     ends.append(False)
                 node = self.next[key]
             ends[node] = True
@@ -46,22 +56,25 @@ class Pieces:
         depth = [0] * len(ends)
         for parent, _, node in order:
             depth[node] = depth[parent] + 1
-        for parent, byte, node in sorted(order, key=lambda x: depth[x[2]]):
+        for parent, letter, node in sorted(order, key=lambda x: depth[x[2]]):
             if ends[node]:
                 self.link[node], self.popped[node] = 0, 1
                 continue
             at, count = self.link[parent], self.popped[parent]
-            while at >= 0 and at << 8 | byte not in self.next:
+            while at >= 0 and at << 9 | letter not in self.next:
                 count += self.popped[at]
                 at = self.link[at]
             if at >= 0:
-                self.link[node], self.popped[node] = self.next[at << 8 | byte], count
+                self.link[node], self.popped[node] = self.next[at << 9 | letter], count
 
     def count(self, word: bytes) -> int:
-        """The number of greedy longest pieces; -1 if some byte is in no piece."""
+        """The number of greedy longest pieces; -1 if no piece goes on at some place."""
         step, link, popped, node, total = self.next, self.link, self.popped, 0, 0
-        for byte in word:
-            while (to := step.get(node << 8 | byte)) is None:
+        letters = list(word)
+        if letters:
+            letters[-1] += self.last
+        for letter in letters:
+            while (to := step.get(node << 9 | letter)) is None:
                 total += popped[node]
                 node = link[node]
                 if node < 0:
@@ -84,20 +97,24 @@ def byte_letters() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def loaded(path: str) -> Pieces:
-    """The pieces of a byte-level vocabulary file; the mark for the end of a word is no part of a piece."""
+    """The pieces of a byte-level vocabulary file; those with the mark for the end of a word end words."""
     with open(path, encoding="utf-8") as file:
         data = json.load(file)
     special = {t["content"] for t in data.get("added_tokens", ())}
     letters = byte_letters()
-    words = (w.removesuffix(WORD_END) for w in data["model"]["vocab"] if w not in special)
-    return Pieces({bytes(letters[c] for c in w) for w in words if w})
+    inner: set[bytes] = set()
+    final: set[bytes] = set()
+    for w in data["model"]["vocab"]:
+        if w not in special and (piece := bytes(letters[c] for c in w.removesuffix(WORD_END))):
+            (final if w.endswith(WORD_END) else inner).add(piece)
+    return Pieces(inner, final)
 
 
 def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, n_words, n_tokens, n_unknown) for every row of documents (doc_id, text, anything else).
 
-    Words are what white space parts, in lower case. ``n_tokens`` counts the greedy longest pieces of every word; a
-    word with a byte that is in no piece is unknown and one token. Null and empty texts have no words. Rows that repeat a
+    Words are what white space parts, in lower case. ``n_tokens`` counts the greedy longest pieces of every word,
+    of which the last one, and no other, is marked as final; a word that has a place without a piece is unknown and one token. Null and empty texts have no words. Rows that repeat a
     doc_id or a whole row each give a row. The vocabulary file must be readable by every executor.
     """
     kind = dict(docs.dtypes)["doc_id"]

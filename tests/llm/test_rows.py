@@ -104,6 +104,40 @@ def test_pieces():
             assert trie.count(word) == brute.pieces(vocabulary, word)
 
 
+def test_pieces_that_end_words():
+    random.seed(8)
+
+    def drawn():
+        return {bytes(random.choice(b"abc") for _ in range(random.randint(1, 4))) for _ in range(random.randint(1, 8))}
+
+    for _ in range(400):
+        inner, final = drawn(), drawn()
+        trie = token_counts.Pieces(inner, final)
+        marked = {tuple(p) for p in inner} | {(*p[:-1], (p[-1], "</w>")) for p in final}
+        for _ in range(30):
+            word = bytes(random.choice(b"abc") for _ in range(random.randint(1, 10)))
+            assert trie.count(word) == brute.pieces(marked, (*word[:-1], (word[-1], "</w>")))
+
+
+def test_marks_of_the_given_vocabulary():
+    import json
+
+    with open(token_counts.VOCABULARY, encoding="utf-8") as file:
+        vocabulary = set(json.load(file)["model"]["vocab"])
+
+    def greedy(word):
+        at, count = 0, 0
+        while at < len(word):
+            at = next(e for e in range(len(word), at, -1) if word[at:e] + "</w>" * (e == len(word)) in vocabulary)
+            count += 1
+        return count
+
+    pieces = token_counts.loaded(token_counts.VOCABULARY)
+    words = ["via", "viaduct", "their", "theirx", "tonight", "tonightq", *random.Random(9).sample(sorted(w.removesuffix("</w>") for w in vocabulary if w.isascii() and w.removesuffix("</w>").isalpha()), 2000)]
+    assert [pieces.count(w.encode()) for w in words] == [greedy(w) for w in words]
+    assert (pieces.count(b"tonight"), pieces.count(b"tonightq")) == (1, 3)
+
+
 PAGES = {
     "": "",
     "<p>a": "a",
