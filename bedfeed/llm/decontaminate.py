@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bedfeed.llm.common import let, stored, without
+from bedfeed.llm.common import let, stored
 from bedfeed.session import compute_once
 
 # Windows of the benchmark up to this number are broadcast; beyond it they are joined by a shuffle.
@@ -159,6 +159,9 @@ def is_contaminated(n_words: Column, n_hit: Column) -> Column:
 def clean_of(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFrame:
     """The documents that are not contaminated, with all their columns. Rows that share a doc_id go or stay together;
     rows without one stay only if they are clean themselves."""
-    found = contamination(docs, items, window)
-    bad = found.where(is_contaminated(F.col("n_words"), F.col("n_hit")))
-    return without(docs, bad).select(*docs.columns)
+    # A row without a doc_id is known by its text, of which alone the verdict depends.
+    digest = F.when(F.col("doc_id").isNull(), F.sha2("text", 256))
+    found = contamination(docs.select(F.struct("doc_id", digest.alias("digest")).alias("doc_id"), "text"), items, window)
+    bad = found.where(is_contaminated(F.col("n_words"), F.col("n_hit"))).select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.digest").alias("_digest"))
+    bad = stored(bad.distinct())
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & digest.eqNullSafe(F.col("_digest")), "left_anti").select(*docs.columns)

@@ -42,6 +42,16 @@ def test_contamination_without_items(spark, docs, empty):
     assert decontaminate.clean_of(docs, none).count() == docs.count()
 
 
+def test_rows_without_a_doc_id_are_judged_by_their_text(spark):
+    bad, good = " ".join(f"item{i}" for i in range(30)), " ".join(f"word{i}" for i in range(30))
+    rows = [(None, bad), (None, bad), (None, good), (None, None), (None, ""), (1, bad), (1, good), (2, good)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    none = spark.createDataFrame([(1, bad)], "item_id long, text string")
+    kept = decontaminate.clean_of(docs, none)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [(None, good), (None, None), (None, ""), (2, good)]))
+
+
 @pytest.mark.parametrize("k", [4, 5])
 def test_near_duplicates(spark, docs, texts, k):
     out = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs, k).collect()}
