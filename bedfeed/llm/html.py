@@ -3,9 +3,10 @@
 A page is a list of text nodes, each below a path of tags from the root. Templates write all paragraphs of an article
 under one path, so figures are summed up by path: characters and punctuation marks per node. Both are smoothed over
 the paths in page order, fused by their product, and compared with a threshold that the spread of the page's own paths
-sets. Paths above it are content; so are headings, lists and other blocks between them under the same parent. Markup
-that names its purpose weighs in: menus, forms, scripts and the like count nothing, the paths of an article or main
-element stand or fall together by the best among them, and paths outside of it lose.
+sets. Paths above it are content; so are headings, lists and other blocks between them and behind them under the same
+parent, and the short blocks of an article that has such a path. Markup that names its purpose weighs in: menus, forms,
+scripts and the like count nothing, paths outside of article and main elements count less the more of the text these
+hold.
 """
 
 from __future__ import annotations
@@ -62,9 +63,17 @@ _MARKS = re.compile(r"[.,;:!?…、。，！？]")
 
 # A path is content from this share of the page's highest ratio on, or from the spread of all ratios.
 SHARE = 0.2
-# Where a page has an article or main element, the paths in it share the best ratio among them, and paths outside
-# count at most this share of it.
-OUTSIDE = 0.1
+# Where a page has article or main elements, the ratios of paths outside count by this factor, and by more if these
+# elements hold less than half of the text.
+OUTSIDE = 0.15
+# From this share of the text on, paths in article and main elements are only compared with each other.
+HELD = 0.2
+# The factor for an element that is beside the text by its words.
+SIDE = 0.02
+# An element is not beside the text if it holds most of it, and an article, a main or an h1 element or all but this share.
+REST = 0.1
+# What goes on with the text behind the last hit right in the body.
+TEXT_BLOCKS = {"p", "ul", "ol", "dl", "table", "pre", "blockquote", "figure"} | HEADINGS
 
 
 @dataclass
@@ -72,19 +81,22 @@ class Node:
     path: tuple[str, ...]
     text: str
     main: bool
+    ids: tuple[int, ...] = ()  # the elements of the path
+    sides: tuple[int, ...] = ()  # those that are beside the text by their words
 
 
 def _side(name: str, attributes: str, main: bool) -> int:
-    """0 for an element that may hold main text, 1 for one that only an article inside could save, else 2."""
+    """0 for an element that may hold main text, 1 for one whose words say it is beside the text but for an article
+    inside, 2 for one that an article inside does not change, 3 for one that never is main text."""
     if name in DROPPED or (name == "header" and not main):
-        return 2
+        return 3
     if name in ("html", "body", "main") or not attributes:
         return 0
     found: set[str] = set()
     for key, *values in _NAMES.findall(attributes):
         key, value = key.lower(), "".join(values).lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
-            return 2
+            return 3
         if key in ("class", "id", "role"):
             for token in value.split():
                 words = _WORD.findall(token)
@@ -96,17 +108,24 @@ def _side(name: str, attributes: str, main: bool) -> int:
 
 def nodes_of(html: str) -> list[Node]:
     """The blocks of text of a page in order, each with its path; what is beside the main text is left out."""
-    stack: list[tuple[str, int, bool, bool]] = []  # tag, side, main, block
+    stack: list[tuple[str, bool, bool, bool, int, tuple[tuple[int, int], ...]]] = []  # tag, never, main, block, number, sides with their kinds
     out: list[Node] = []
-    parts: list[str] = []
+    parts: list[tuple[str, tuple[int, ...]]] = []  # text, and what it is beside the text by
     path: tuple[str, ...] = ()
+    number = 0
+
+    def add(text: str) -> None:
+        if not (stack and (stack[-1][1] or stack[-1][5])):
+            parts.append((text, tuple(i for i, _ in stack[-1][5]) if stack else ()))
 
     def flush() -> None:
         if parts:
-            text = " ".join(unescape("".join(parts)).split())
+            # What is beside the text within a line is a block of its own.
+            for sides in dict.fromkeys(x[1] for x in parts):
+                text = " ".join(unescape("".join(x[0] for x in parts if x[1] == sides)).split())
+                if text:
+                    out.append(Node(path, text, bool(stack) and stack[-1][2], tuple(x[4] for x in stack), sides))
             parts.clear()
-            if text:
-                out.append(Node(path, text, bool(stack) and stack[-1][2]))
 
     def close(n: int) -> None:
         nonlocal path
@@ -125,16 +144,15 @@ def nodes_of(html: str) -> list[Node]:
         if not found:  # a tag that is never closed is text up to the next one
             next_ = html.find("<", at + 1)
             end = len(html) if next_ < 0 else next_
-            if not (stack and stack[-1][1]):
-                parts.append(html[at:end])
+            add(html[at:end])
             at = end
             continue
         at = found.end()
         name = found[2]
         if name is None:
             text = found[0]
-            if not text.startswith(("<!", "<?")) and not (stack and stack[-1][1]):
-                parts.append(text)
+            if not text.startswith(("<!", "<?")):
+                add(text)
             continue
         name = name.lower()
         if found[1]:
@@ -153,7 +171,7 @@ def nodes_of(html: str) -> list[Node]:
                 if name == "hr":
                     flush()
                 else:
-                    parts.append(" ")
+                    add(" ")
             continue
         for n in range(len(stack) - 1, -1, -1):
             if name in CLOSED_BY.get(stack[n][0], ()):
@@ -161,18 +179,21 @@ def nodes_of(html: str) -> list[Node]:
                 break
             if stack[n][0] in ("ul", "ol", "table", "dl", "div", "td", "th", "article", "section", "body", "blockquote"):
                 break
-        side, main = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+        never, main, sides = (stack[-1][1], stack[-1][2], stack[-1][5]) if stack else (False, False, ())
         block = name in BLOCKS or name in DROPPED - {"button", "label", "select", "option", "input", "math"}
         if block:
             flush()
         attributes = found[3]
         opens = name in ("article", "main") or ("role" in attributes and re.search(r"role\s*=\s*[\"']?main", attributes) is not None) or "articleBody" in attributes
-        if opens and side == 1 and not main:
-            side = 0
+        if opens and not main:
+            sides = tuple(x for x in sides if x[1] > 1)
         main = main or opens
-        side = max(side, _side(name, attributes, main))
+        side, number = _side(name, attributes, main), number + 1
+        never = never or side == 3
+        if side in (1, 2):
+            sides = (*sides, (number, side))
         if not attributes.rstrip().endswith("/") or name not in ("svg", "math", "path", "g", "use", "circle", "rect", "line", "polygon"):
-            stack.append((name, side, main, block))
+            stack.append((name, never, main, block, number, sides))
             path = (*path, name)
             if name in RAW:
                 raw = name
@@ -189,35 +210,96 @@ def smoothed(values: np.ndarray) -> np.ndarray:
     return np.convolve(padded, bell, "valid")
 
 
+def _beside(nodes: list[Node]) -> list[bool]:
+    """Which nodes are beside the text by the words of elements that do not hold most of it themselves."""
+    held: dict[int, int] = {}
+    titled: set[int] = set()
+    total = 0
+    for n in nodes:
+        total += len(n.text)
+        for i in n.sides:
+            held[i] = held.get(i, 0) + len(n.text)
+        if n.main or "h1" in n.path:
+            titled.update(n.sides)
+    most = {i for i, chars in held.items() if 2 * chars > total and (i in titled or total - chars < REST * total)}
+    return [any(i not in most for i in n.sides) for n in nodes]
+
+
 def content(nodes: list[Node]) -> list[Node]:
-    """The nodes whose paths are content."""
+    """The nodes whose paths are content, and what belongs to them."""
     if not nodes:
         return []
-    paths = list(dict.fromkeys((n.path, n.main) for n in nodes))
+    beside = _beside(nodes)
+    keys = [(n.path, n.main, b) for n, b in zip(nodes, beside, strict=True)]
+    paths = list(dict.fromkeys(keys))
     place = {p: i for i, p in enumerate(paths)}
     chars, marks, count = (np.zeros(len(paths)) for _ in range(3))
-    for n in nodes:
-        i = place[n.path, n.main]
+    for n, key in zip(nodes, keys, strict=True):
+        i = place[key]
         chars[i] += len(n.text)
         marks[i] += len(_MARKS.findall(n.text))
         count[i] += 1
     ratio, marked = chars / count, 1 + marks / count
     # A path in the midst of long ones gains by its neighbours, so its own ratios have to be of some weight as well.
     fused = np.sqrt(smoothed(ratio) * smoothed(marked) * ratio * marked)
-    main = np.array([m for _, m in paths])
-    if main.any():
-        fused = np.where(main, fused[main].max(), fused * min(1.0, OUTSIDE * fused[main].max() / fused.max()))
-    threshold = min(fused.max(), max(fused.std(), SHARE * fused.max()))
-    good = {p for p in paths if fused[place[p]] >= threshold}
-    parents = {p[:-1] for p, _ in good}
-    hits = [i for i, n in enumerate(nodes) if (n.path, n.main) in good]
+    main, side = np.array([p[1] for p in paths]), np.array([p[2] for p in paths])
+    held = 0.0
     if main.any():
-        return [nodes[i] for i in hits]
-    first = hits[0]
-    while first and nodes[first - 1].path and nodes[first - 1].path[-1] in HEADINGS and nodes[first - 1].path[:-1] in parents:
+        held = chars[main & ~side].sum() / max(1, chars[~side].sum())
+        fused = np.where(main, fused, fused * max(OUTSIDE, 1 - 2 * held))
+    fused = np.where(side, fused * SIDE, fused)
+    # What is beside the text has no say in the threshold.
+    known = fused if side.all() else fused[~side]
+    threshold = min(known.max(), max(known.std(), SHARE * known.max()))
+    least = np.full(len(paths), threshold)
+    if held >= HELD:
+        inside = fused[main & ~side]
+        least[main & ~side] = min(threshold, inside.max(), max(inside.std(), SHARE * inside.max()))
+    hits = [i for i, key in enumerate(keys) if fused[place[key]] >= least[place[key]]]
+    good, kept = set(hits), set(hits)
+    parents = {nodes[i].path[:-1] for i in hits if not beside[i]}
+    # Elements are known by their number, as others may have the same path.
+    holders = {nodes[i].ids[-2] if len(nodes[i].ids) > 1 else 0 for i in hits if not beside[i]}
+    whole: set[int] = set()  # articles with a hit
+    for i in hits:
+        if not beside[i] and (a := _article(nodes[i])) is not None:
+            whole.add(a)
+
+    def goes_on(n: Node) -> bool:
+        """In an element that holds a hit; right in the body, only what is no frame."""
+        for at, i in enumerate((0, *n.ids)):
+            if i in holders:
+                if not at or n.path[at - 1] in ("html", "body"):
+                    if at < len(n.path) and n.path[at] in TEXT_BLOCKS:
+                        return True
+                else:
+                    return True
+        return False
+
+    first, last = hits[0], hits[-1]
+    while first and not beside[first - 1] and nodes[first - 1].path and nodes[first - 1].path[-1] in HEADINGS and nodes[first - 1].path[:-1] in parents:
         first -= 1
-    inside = range(first, hits[-1] + 1)
-    return [n for i, n in enumerate(nodes) if (n.path, n.main) in good or (i in inside and any(n.path[: len(p)] == p for p in parents))]
+    # In a main element the text begins with its first heading.
+    titles = [i for i in range(first) if nodes[i].main and nodes[hits[0]].main and not beside[i] and nodes[i].path[-1] in HEADINGS]
+    first = titles[0] if titles else first
+    for i, n in enumerate(nodes):
+        if beside[i] or i in good:
+            continue
+        if first <= i <= last:
+            if (n.main and nodes[hits[0]].main) or any(n.path[: len(p)] == p for p in parents):
+                kept.add(i)
+        elif i > last or n.main:
+            if goes_on(n):
+                kept.add(i)
+        if _article(n) in whole:
+            kept.add(i)
+    # An article inside that has no hit of its own is no part of the text around it.
+    return [n for i, n in enumerate(nodes) if i in good or (i in kept and ((a := _article(n)) is None or a in whole))]
+
+
+def _article(n: Node) -> int | None:
+    """The innermost article that a node is in."""
+    return next((i for tag, i in zip(reversed(n.path), reversed(n.ids), strict=True) if tag == "article"), None)
 
 
 def main_text(html: str) -> str:

@@ -171,3 +171,20 @@ def test_articles_of_the_given_pages(spark):
         blocks = re.split(r"</?(?:p|h1)>", re.search(r"<article>(.*?)</article>", r.html, re.S)[1])
         blocks = [" ".join(unescape(re.sub(r"</?b>", "", b).replace("<br>", " ")).split()) for b in blocks]
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
+
+
+PARAS = [f"Paragraph {i} of the text, which is long enough; it has commas, marks, and some more words to read." for i in range(6)]
+BODY = "".join(f"<p>{x}</p>" for x in PARAS)
+SIDES = {
+    # Article elements around teasers do not outweigh the text beside them.
+    "teasers": (f"<div class=text><h1>T</h1>{BODY}</div>" + "<article class=teaser><h3>More</h3><p>Short one.</p></article>" * 3, ["T", *PARAS]),
+    # Blocks behind the last long paragraph.
+    "tail": (f"<body><div class=text><h1>T</h1>{BODY}<ul><li>a</li><li>b</li></ul><pre>x = 1</pre></div><div>Imprint</div></body>", ["T", *PARAS, "a", "b", "x = 1"]),
+    "tail of a body": (f"<body><h1>T</h1>{BODY}<ul><li>a</li></ul><div>Imprint</div></body>", ["T", *PARAS, "a"]),
+    "one long block outside": (f"<article><h1>T</h1>{BODY}</article><div>" + "Terms, and more terms. " * 80 + "</div>", ["T", *PARAS, ("Terms, and more terms. " * 80).strip()]),
+    "main": (f"<main><h1>T</h1><ul><li>a</li></ul>{BODY}<blockquote><p>q</p></blockquote><div class=related><p>r</p></div></main><p>o", ["T", "a", *PARAS, "q"]),
+}
+
+@pytest.mark.parametrize("name", SIDES)
+def test_article_elements_and_ends_of_texts(name):
+    assert html.main_text(SIDES[name][0]).split("\n") == SIDES[name][1]
