@@ -6,7 +6,7 @@ the paths in page order, fused by their product, and compared with a threshold t
 sets. Paths above it are content; so are headings, lists and other blocks between them and behind them under the same
 parent, and the short blocks of an article that has such a path. Markup that names its purpose weighs in: menus, forms,
 scripts and the like count nothing, paths outside of article and main elements count less the more of the text these
-hold.
+hold, and so do elements whose class, id or role has a word for what is beside the text, unless they hold most of it.
 """
 
 from __future__ import annotations
@@ -48,7 +48,9 @@ _FRAME = set("sidebar side header menu nav widget banner modal overlay form".spl
 # And words that hold for an article element as well: it may be a reader's comment or a teaser.
 _OTHER_ARTICLE = set("ad ads advert advertisement sponsored promo related recommended comment comments reply replies responses discussion".split())
 # A class that begins like this tells what a page has, not what the element is.
-_HAVING = {"has", "with", "no", "without", "is", "hide", "show"}
+_HAVING = {"has", "with", "no", "without", "is", "hide", "show", "category", "tag", "layout"}
+# And one that ends like this tells what state it is in.
+_STATE = {"open", "opened", "closed", "enabled", "disabled", "allowed", "on", "off"}
 # Closing these needs no tag: a new one, or one of the others, ends the one that is open.
 CLOSED_BY = {
     "p": {"p"} | (BLOCKS - {"html", "body"}), "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot", "thead"},
@@ -100,9 +102,11 @@ def _side(name: str, attributes: str, main: bool) -> int:
         if key in ("class", "id", "role"):
             for token in value.split():
                 words = _WORD.findall(token)
-                if words and words[0] not in _HAVING:
+                if words and words[0] not in _HAVING and (len(words) == 1 or words[-1] not in _STATE):
                     found.update(words)
     found &= _OTHER_ARTICLE if name == "article" or name in HEADINGS else _SIDE
+    if main:
+        found.discard("header")  # of the article
     return 0 if not found else 1 if found <= _FRAME else 2
 
 
@@ -115,7 +119,7 @@ def nodes_of(html: str) -> list[Node]:
     number = 0
 
     def add(text: str) -> None:
-        if not (stack and (stack[-1][1] or stack[-1][5])):
+        if not (stack and stack[-1][1]):
             parts.append((text, tuple(i for i, _ in stack[-1][5]) if stack else ()))
 
     def flush() -> None:

@@ -184,7 +184,24 @@ SIDES = {
     "one long block outside": (f"<article><h1>T</h1>{BODY}</article><div>" + "Terms, and more terms. " * 80 + "</div>", ["T", *PARAS, ("Terms, and more terms. " * 80).strip()]),
     "main": (f"<main><h1>T</h1><ul><li>a</li></ul>{BODY}<blockquote><p>q</p></blockquote><div class=related><p>r</p></div></main><p>o", ["T", "a", *PARAS, "q"]),
 }
+WORDS = {
+    "category": (f'<article class="post category-discussion"><h1>T</h1>{BODY}</article><div class=comments><p>Nice!</p></div>', ["T", *PARAS]),
+    "open": (f'<article class="post comments-open"><h1>T</h1>{BODY}</article>', ["T", *PARAS]),
+    "frame": (f'<div id=page class="site comments-open"><article><h1>T</h1>{BODY}</article><div class=comments><p>Nice!</p></div></div>', ["T", *PARAS]),
+    "state": (f'<div id=page class="site share-enabled"><div><h1>T</h1>{BODY}</div><div class=share>Like</div></div>', ["T", *PARAS]),
+    "layout": (f'<div class="layout-sidebar-right"><div><h1>T</h1>{BODY}</div><div class=sidebar>Links</div></div>', ["T", *PARAS]),
+    "unknown state": (f'<div class="page-social-widget"><div><h1>T</h1>{BODY}</div><div class=sidebar>Links</div></div>', ["T", *PARAS]),
+    "header": (f"<article><div class=article-header><h1>T</h1><p>Lead.</p></div>{BODY}</article>", ["T", "Lead.", *PARAS]),
+    "inline": (f"<div><h1>T</h1>{BODY}<p>Read <span class=share>Like</span> on, and on; it is <b>not</b> over.</p></div>", ["T", *PARAS, "Read on, and on; it is not over."]),
+    "comments": (f"<div class=text><h1>T</h1>{BODY}</div><div class=comments>" + "<p>A comment, rather long, and with marks. Yes!</p>" * 30 + "</div>", ["T", *PARAS]),
+}
+
 
 @pytest.mark.parametrize("name", SIDES)
 def test_article_elements_and_ends_of_texts(name):
     assert html.main_text(SIDES[name][0]).split("\n") == SIDES[name][1]
+
+
+@pytest.mark.parametrize("name", WORDS)
+def test_words_for_what_is_beside_the_text(name):
+    assert html.main_text(WORDS[name][0]).split("\n") == WORDS[name][1]
