@@ -1,7 +1,8 @@
 """Personal data: exact forms, and identifiers that their context gives away, in DataFrame functions only.
 
-The exact forms (email, ip, card, phone) are seeds. Every token with a digit is an instance, the two words before it
-its pattern. Patterns and instances form a graph: a pattern is trusted as far as its instances are, an instance that
+The exact forms (email, ip, card, phone) are seeds. Every exact form is an instance, and so is what has the shape of
+one: a token with a digit or an @, and groups of digits parted by spaces. The two words before the token it begins in
+are its pattern. Patterns and instances form a graph: a pattern is trusted as far as its instances are, an instance that
 is no seed as far as its patterns are; a few rounds spread the trust of the seeds. Tokens that are no seeds but
 follow a pattern of high trust and enough seeds are found as well.
 
@@ -14,12 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bedfeed.llm.common import let, stored
+from bedfeed.llm.common import let, stored, words_of
 from bedfeed.session import compute_once
 
 # The kinds in the order in which spans of one start are listed; the last one is found by context.
 KINDS = ("email", "ip", "card", "phone", "context")
-_MARK, _TOKEN = -1, 9
+_MARK, _GROUPS, _TOKEN = -1, 8, 9
 
 # The exact forms. \G and the look behind only keep the search from starting inside a run.
 FORMS = (
@@ -28,13 +29,16 @@ FORMS = (
     r"[0-9](?:[\x20-]?[0-9])++",
     r"\+[0-9][\x20().0-9-]+[0-9]",
 )
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+# Words that an exact form can begin in: all others have neither a digit nor an @.
+TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+# Two or more groups of digits as cards and phones have them, and how many digits these have.
+_GROUP = r"[0-9]++(?:[().-]++[0-9]++)*+\)?+"
+GROUPS = rf"(?<![^\x20\x09-\x0D])[(+]*+{_GROUP}(?:\x20\(?{_GROUP})++"
+GROUPS_DIGITS = (9, 19)
 
 # A token is trimmed of these and must then be this long.
 OPENING, CLOSING = "\"'([<{", "\"')]>}.,;:!?"
 MIN_TOKEN = 6
-# Characters before a token in which its pattern, two words, is looked for.
-REACH = 64
 
 ROUNDS = 3
 MIN_SEEDS = 4
@@ -61,10 +65,16 @@ def _valid(kind: int, found: Column) -> Column:
         return let(_digits(found), lambda d: F.when(F.length(d).between(12, 19), _luhn(d)).otherwise(False))
     if kind == 3:
         return F.length(_digits(found)).between(9, 15)
+    if kind == _GROUPS:
+        return F.length(_digits(found)).between(*GROUPS_DIGITS)
     return F.lit(True)
 
 
-_FOUND = "array<struct<kind:int,nth:int,gap:int,length:int,good:boolean,token:string,near:string>>"
+def _last_two(words: Column) -> Column:
+    return F.reverse(F.slice(F.reverse(words), 1, 2))
+
+
+_FOUND = "array<struct<kind:int,nth:int,gap:int,length:int,good:boolean,token:string,near:array<string>>>"
 
 
 def _matches(text: Column, kind: int, form: str, when: Column) -> Column:
@@ -74,43 +84,50 @@ def _matches(text: Column, kind: int, form: str, when: Column) -> Column:
         token = kind == _TOKEN
         return F.transform(F.regexp_extract_all(text, F.lit(form), F.lit(0)), lambda m, j: F.struct(
             F.lit(kind).alias("kind"), j.alias("nth"), F.char_length(F.get(pieces, j)).alias("gap"), F.char_length(m).alias("length"),
-            (F.lit(True) if token else _valid(kind, m)).alias("good"),
-            (m if token else F.lit(None).cast("string")).alias("token"),
-            (F.right(F.get(pieces, j), F.lit(REACH)) if token else F.lit(None).cast("string")).alias("near"),
+            (F.lit(True) if token else _valid(kind, m)).alias("good"), m.alias("token"),
+            (_last_two(words_of(F.get(pieces, j))) if token else F.lit(None).cast("array<string>")).alias("near"),
         ))
 
     return F.when(when, let(F.split(text, form, -1), of).cast(_FOUND)).otherwise(F.array().cast(_FOUND))
 
 
 def _entities(docs: DataFrame) -> DataFrame:
-    """One row per exact form or token with a digit, and one of kind -1 per document, with their places."""
+    """One row per exact form, token or groups of digits, and one of kind -1 per document, with their places."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.xxhash64(F.col("doc_id").cast("string"), text).alias("key"), text.alias("text"))
     digit = F.col("text").rlike("[0-9]")
     needed = [F.col("text").contains("@"), digit & F.col("text").contains("."), digit, digit & F.col("text").contains("+")]
     mark = F.array(F.struct(
         F.lit(_MARK).alias("kind"), F.lit(0).alias("nth"), F.lit(0).alias("gap"), F.lit(0).alias("length"), F.lit(True).alias("good"),
-        F.lit(None).cast("string").alias("token"), F.lit(None).cast("string").alias("near"),
+        F.lit(None).cast("string").alias("token"), F.lit(None).cast("array<string>").alias("near"),
     )).cast(_FOUND)
     every = [_matches(F.col("text"), kind, form, needed[kind]) for kind, form in enumerate(FORMS)]
-    found = compute_once(rows, {"found": F.concat(mark, *every, _matches(F.col("text"), _TOKEN, TOKEN, digit))})
+    found = compute_once(rows, {"found": F.concat(mark, *every, _matches(F.col("text"), _GROUPS, GROUPS, digit), _matches(F.col("text"), _TOKEN, TOKEN, digit | needed[0]))})
     each = found.select("row", "doc_id", "key", F.explode("found").alias("f")).select("row", "doc_id", "key", "f.*").repartition("row")
     so_far = Window.partitionBy("row", "kind").orderBy("nth")
     each = each.withColumn("end", F.sum(F.col("gap") + F.col("length")).over(so_far)).withColumn("start", F.col("end") - F.col("length"))
-    core = F.rtrim(F.ltrim(F.col("token"), F.lit(OPENING)), F.lit(CLOSING))
-    lead = F.length("token") - F.length(F.ltrim(F.col("token"), F.lit(OPENING)))
+    # The words before a token: those of the piece before it, the token before that, and so on; tokens are whole words.
+    none = F.array().cast("array<string>")
+    before = [F.array_compact(F.array(F.lag("token", 2).over(so_far))), F.coalesce(F.lag("near", 1).over(so_far), none), F.array_compact(F.array(F.lag("token", 1).over(so_far)))]
+    pattern = let(_last_two(F.concat(*before, F.coalesce("near", none))), lambda w: F.when(F.size(w) == 2, F.lower(F.array_join(w, " "))))
+    each = each.withColumn("pattern", F.when(F.col("kind") == _TOKEN, F.struct(pattern.alias("words"))))
+    # All others have the pattern of the token they begin in.
+    begun = Window.partitionBy("row").orderBy("start", F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
+    each = each.withColumn("pattern", F.last("pattern", ignorenulls=True).over(begun)["words"])
+    is_token = F.col("kind") == _TOKEN
+    core = F.when(is_token, F.rtrim(F.ltrim(F.col("token"), F.lit(OPENING)), F.lit(CLOSING))).otherwise(F.col("token"))
+    lead = F.when(is_token, F.length("token") - F.length(F.ltrim(F.col("token"), F.lit(OPENING))))
     each = each.withColumn("core", F.lower(core)).withColumn("lead", F.coalesce(lead, F.lit(0)))
-    each = each.withColumn("start", F.col("start") + F.col("lead")).withColumn("end", F.when(F.col("kind") == _TOKEN, F.col("start") + F.length("core")).otherwise(F.col("end")))
+    each = each.withColumn("start", F.col("start") + F.col("lead")).withColumn("end", F.when(is_token, F.col("start") + F.length("core")).otherwise(F.col("end")))
     each = each.where("good and (kind <> 9 or length(core) >= %d)" % MIN_TOKEN)
-    # A token is a seed if an exact form overlaps it: one that starts at or before it, or one that starts inside it.
+    # An exact form is a seed, and so is a token if an exact form overlaps it: one that starts at or before it, or one inside.
     exact = F.col("kind").between(0, 3)
     first = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
     last = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
     each = each.withColumn("seed", F.coalesce(F.max(F.when(exact, F.col("end"))).over(first) > F.col("start"), F.lit(False)))
     each = each.withColumn("seed", F.col("seed") | F.coalesce(F.min(F.when(exact, F.col("start"))).over(last) < F.col("end"), F.lit(False)))
-    words = F.slice(F.reverse(F.array_remove(F.split(F.lower("near"), r"[\x20\x09-\x0D]"), "")), 1, 2)
-    pattern = F.when(F.col("kind") == _TOKEN, let(words, lambda w: F.when(F.size(w) == 2, F.array_join(F.reverse(w), " "))))
-    return each.select("row", "doc_id", "key", "kind", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "core", "seed", pattern.alias("pattern"))
+    each = each.withColumn("seed", F.col("seed") | exact).where("not (kind = %d and seed)" % _GROUPS)
+    return each.select("row", "doc_id", "key", "kind", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "core", "seed", "pattern")
 
 
 def pattern_scores(entities: DataFrame) -> DataFrame:
@@ -119,7 +136,7 @@ def pattern_scores(entities: DataFrame) -> DataFrame:
     A pattern's trust is the sum of its instances' over their number plus one; an instance that is no seed gets the
     chance that not all its patterns are wrong.
     """
-    edges = entities.where("kind = 9 and pattern is not null").groupBy("pattern", F.col("core").alias("instance")).agg(F.max("seed").alias("seed"))
+    edges = entities.where("kind >= 0 and pattern is not null").groupBy("pattern", F.col("core").alias("instance")).agg(F.max("seed").alias("seed"))
     edges = stored(edges)
     seeds = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("base"))
     trust = seeds.select("instance", F.col("base").alias("trust"))
@@ -140,13 +157,13 @@ def personal_spans(docs: DataFrame) -> DataFrame:
     -1 for every document. Kinds are places in `KINDS`; positions count code points, the end is exclusive.
 
     Null and empty texts have no spans. Rows that repeat a doc_id or a whole row have a ``row`` of their own; ``key``
-    stands for doc_id and text. A token with nothing but white space before it has no pattern.
+    stands for doc_id and text. A token with fewer than two words before it has no pattern.
     """
     found = stored(_entities(docs))
     good = pattern_scores(found).where((F.col("trust") >= MIN_TRUST) & (F.col("seeds") >= MIN_SEEDS)).select("pattern", F.lit(True).alias("good"))
-    tokens = found.where("kind = 9 and not seed").join(good, "pattern", "left_semi").withColumn("kind", F.lit(len(KINDS) - 1))
+    tokens = found.where("kind >= 8 and not seed").join(good, "pattern", "left_semi").withColumn("kind", F.lit(len(KINDS) - 1))
     columns = ["row", "doc_id", "key", "kind", "start", "end"]
-    return found.where("kind <> 9").select(*columns).unionByName(tokens.select(*columns))
+    return found.where("kind < 8").select(*columns).unionByName(tokens.select(*columns))
 
 
 def span_texts(spans: DataFrame) -> DataFrame:

@@ -79,6 +79,30 @@ def test_identifiers_found_by_context(spark):
     assert clean[2] == "Dear all, customer reach me <IP> or not"
 
 
+@pytest.mark.parametrize("seeds", [
+    [f"{n}@{d}.org" for n in ("ann", "bob", "eve") for d in "ab"],
+    ["4000 0000 0000 0002", "4000 0000 0000 0010", "4000 0000 0000 0028", "4000 0000 0000 0036", "4000 0000 0000 0044", "4000 0000 0000 0051"],
+    [f"+1 (555) 010 999{i}" for i in range(6)],
+])
+def test_all_exact_forms_are_seeds(spark, seeds):
+    assert all(brute.personal(x).count(":") == 2 for x in seeds)
+    texts = [f"Dear all, customer reach me {x} or not" for x in seeds] + ["please reach me ID-77123-X today", "nothing about model X-90210 here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.span_texts(pii.personal_spans(docs)).collect()}
+    assert spans[len(seeds)] == "context:16:26" and spans[len(seeds) + 1] == ""
+
+
+def test_identifiers_of_the_shapes_of_seeds(spark):
+    long = "w" * 80
+    seeds = [f"{n}@{d}.org" for n in ("ann", "bob", "eve", "dan") for d in "abc"]
+    texts = [f"please {w} {x} today" for w in ("reach me", "ask unit7", f"{long} me") for x in seeds]
+    found = ["please reach me 555 010 9999 today", "please reach me bob@intranet today", "please ask unit7 ID-77123-X today", f"please {long} me ID-77123-X today"]
+    not_found = ["it took 555 010 9999 years", "nothing for bob@intranet today", "please " + "w" * 90 + " me ID-77124-X today"]
+    docs = spark.createDataFrame(list(enumerate(found + not_found + texts)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.span_texts(pii.personal_spans(docs)).collect()}
+    assert [spans[i] for i in range(7)] == ["context:16:28", "context:16:28", "context:17:27", "context:91:101", "", "", ""]
+
+
 def test_redaction_of_overlapping_spans(spark):
     text = "é +1 (555) 010-9999 x 10.0.0.1@b.com end"
     docs = spark.createDataFrame([(1, text, 5), (2, None, 0), (2, "", 0)], "doc_id long, text string, n_chars long")
