@@ -67,6 +67,30 @@ component AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM component LEFT JOIN n USING (doc_id)"""
 
+FILTER_AUDIT = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{_SPACED}') AS words FROM d),
+firsts AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+marks AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, [CAST(len(words) < 100 AS INT), CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INT),
+    CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS INT), CAST(regexp_matches(t, '[#$%&*|]') AS INT),
+    CAST(coalesce(d_id > first, false) AS INT)] AS fails, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM (SELECT doc_id AS d_id, part, t, words FROM w) JOIN firsts USING (t) LEFT JOIN marks ON d_id = marks.doc_id),
+cells AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+orders(o) AS (SELECT '' UNION ALL SELECT o || x FROM orders, unnest(['A', 'B', 'C', 'D', 'E']) AS l(x) WHERE NOT contains(o, x)),
+steps AS (SELECT o, k, instr('ABCDE', substr(o, k, 1)) AS place, list_transform(range(1, k), lambda j: instr('ABCDE', substr(o, j, 1))) AS before
+  FROM orders, range(1, 6) AS s(k) WHERE length(o) = 5),
+seen AS (SELECT part, o, k, place, n, good, toxic, fails[place] = 1 AS bad, coalesce(list_sum(list_transform(before, lambda j: fails[j])), 0) > 0 AS gone,
+    list_sum(fails) AS times FROM cells, steps),
+sums AS (SELECT part, o, k, place, coalesce(sum(n) FILTER (NOT bad AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (bad AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (bad AND gone), 0) AS redundant, coalesce(sum(n) FILTER (bad AND times = 1), 0) AS alone,
+    coalesce(sum(good) FILTER (bad AND NOT gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (bad AND NOT gone), 0) AS toxic_lost
+  FROM seen GROUP BY part, o, k, place)
+SELECT part, o AS filter_order, CAST(k AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(alone AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, place) AS BIGINT) AS shapley
+FROM sums"""
+
 
 def _secrets() -> str:
     """Matches and the pieces between them, added up to positions, for every rule."""

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from bedfeed.llm import decontaminate, html, near_dedup, oracles, packing, pii, quality, repeats, secrets, sharding, token_counts
+from bedfeed.llm import (
+    decontaminate, filter_audit, html, near_dedup, oracles, packing, pii, quality, repeats, secrets, sharding, token_counts,
+)
 from bedfeed.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,10 +98,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 ORACLES["op1_secret_scan"] = oracles.SECRETS
 ORACLES["op2_quality_rules"] = oracles.QUALITY
 ORACLES["op8_decontamination"] = oracles.DECONTAMINATION
 ORACLES["op9_near_duplicates"] = oracles.NEAR_DUPLICATES
+ORACLES["op11_filter_audit"] = oracles.FILTER_AUDIT
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
