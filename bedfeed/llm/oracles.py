@@ -91,6 +91,21 @@ SELECT part, o AS filter_order, CAST(k AS INT) AS step, CAST(kept AS BIGINT) AS
   CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, place) AS BIGINT) AS shapley
 FROM sums"""
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+LEXICAL_SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') AS words FROM documents),
+b AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') AS words FROM benchmark),
+sums AS (SELECT count(*) FILTER (len(words) > 0) AS docs, CAST(sum(len(words)) AS BIGINT) AS terms FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM d) GROUP BY r, term),
+q AS (SELECT i, item_id, term, count(*) AS k FROM (SELECT i, item_id, unnest(words) AS term FROM b) GROUP BY i, item_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), sums),
+m AS (SELECT r, doc_id, 75 + (25 * CAST(len(words) AS BIGINT) * docs) // terms AS m FROM d, sums WHERE len(words) > 0),
+s AS (SELECT i, item_id, doc_id, r, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY i, item_id, doc_id, r)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 20"""
+
 
 def _secrets() -> str:
     """Matches and the pieces between them, added up to positions, for every rule."""

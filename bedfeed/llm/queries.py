@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bedfeed.llm import (
-    decontaminate, filter_audit, html, near_dedup, oracles, packing, pii, quality, repeats, secrets, sharding, token_counts,
+    decontaminate, filter_audit, html, lexical, near_dedup, oracles, packing, pii, quality, repeats, secrets, sharding, token_counts,
 )
 from bedfeed.llm.common import table
 
@@ -103,11 +103,17 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
 ORACLES["op1_secret_scan"] = oracles.SECRETS
 ORACLES["op2_quality_rules"] = oracles.QUALITY
 ORACLES["op8_decontamination"] = oracles.DECONTAMINATION
 ORACLES["op9_near_duplicates"] = oracles.NEAR_DUPLICATES
 ORACLES["op11_filter_audit"] = oracles.FILTER_AUDIT
+ORACLES["op12_lexical_search"] = oracles.LEXICAL_SEARCH
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
