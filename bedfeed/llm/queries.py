@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bedfeed.llm import (
-    decontaminate, filter_audit, html, lexical, near_dedup, oracles, packing, pii, quality, repeats, secrets, sharding, token_counts,
+    decontaminate, filter_audit, fingerprints, html, lexical, near_dedup, oracles, packing, pii, quality, repeats, secrets, sharding, token_counts,
 )
 from bedfeed.llm.common import table
 
@@ -108,6 +108,11 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
 
 
+@query
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_likeness(table(spark, sf_dir, "documents"), k=5)
+
+
 ORACLES["op1_secret_scan"] = oracles.SECRETS
 ORACLES["op2_quality_rules"] = oracles.QUALITY
 ORACLES["op8_decontamination"] = oracles.DECONTAMINATION
