@@ -14,6 +14,9 @@ from bedfeed.session import scratch_dir
 # Fixed value: the white space that parts words.
 SPACE = r"[\x20\x09-\x0D]"
 
+# Bits of a bitmap of ids: 16 MB.
+BITMAP_BITS = 1 << 27
+
 # Texts are worked on in blocks of about this many bytes, so that numpy's arrays stay small.
 BLOCK_BYTES = 1 << 20
 
@@ -38,6 +41,20 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(stored(ids.select("doc_id").distinct()), "doc_id", "left_anti")
 
 
+def could_be_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id may be in a table of ids: all that are, and the more of the others the longer the table.
+
+    What decides is a bitmap of `BITMAP_BITS` bits over a hash of the ids, made and looked up by Spark. Its size is fixed,
+    so it can be broadcast whatever the tables hold, and a join after it need not shuffle the texts of all documents.
+    """
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
+    place = F.bitmap_bit_position(bit)
+    bitmaps = ids.select("doc_id").groupBy(F.bitmap_bucket_number(bit).alias("_bucket")).agg(F.bitmap_construct_agg(place).alias("_bitmap"))
+    byte = F.conv(F.hex(F.substring("_bitmap", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = docs.withColumn("_bucket", F.bitmap_bucket_number(bit)).join(F.broadcast(stored(bitmaps)), "_bucket")
+    return found.where(F.getbit(byte, (place % 8).cast("int")) == 1).select(*docs.columns)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is evaluated once; the inputs of a lambda are evaluated again for every element."""
     return F.transform(F.array(value), lambda x: body(x))[0]

@@ -3,6 +3,8 @@
 A fingerprint holds, for each of a number of universal hash permutations, 16 bits of the least permuted shingle. The
 share of equal slots of two fingerprints estimates the Jaccard similarity of the shingle sets.
 
+Near-duplicates are found by bands of slots, joined in Spark, and confirmed by the Jaccard similarity of full sets.
+
 The edited text of a document ends with the beginning of the next document, so documents must meet their successors.
 Histogram splitters cut the order of doc_id in parts of nearly equal bytes, one exchange brings each part to a task
 in order, and the first row of a part goes to the part before it as well. Texts are packed while they travel.
@@ -19,9 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bedfeed.llm.common import blocks, mix, shingle_hashes, stored
+from bedfeed.llm.components import components
+from bedfeed.llm.near_dedup import candidate_ties, doc_sets, links
 from bedfeed.llm.sharding import placed, splitters
 
 SLOTS = 64
+# Bands of 3 slots match with 0.8**3, so 21 of them miss a link at the threshold 3 times in 10 million.
+BAND_SLOTS = 3
+BANDS = SLOTS // BAND_SLOTS
+# Pairs whose likeness is this many deviations below the threshold are no candidates.
+DEVIATIONS = 6
 # Bytes of text in a part of the order; beyond `MOST_PARTS` parts they grow.
 PART_BYTES = 16 << 20
 MOST_PARTS = 20_000
@@ -37,23 +46,27 @@ FACTORS, TERMS = _KEYS[:SLOTS] | np.uint64(1), _KEYS[SLOTS:]
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def minhash(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per row of a block: the slots, and the number of shingles with repeats. Rows without words have all bits set."""
-    rows, shingles = shingle_hashes(data, offsets, k)
-    if len(rows) and (np.diff(rows) < 0).any():
-        order = np.argsort(rows, kind="stable")
-        rows, shingles = rows[order], shingles[order]
-    starts = np.searchsorted(rows, np.arange(len(offsets)))
-    counts = np.diff(starts)
-    full = np.flatnonzero(counts)
-    out = np.full((len(counts), SLOTS), 0xFFFF, np.uint16)
+def minhash(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The slots of each row's shingles; repeats do not matter. Rows without any have all bits set."""
+    full = np.flatnonzero(np.diff(starts))
+    out = np.full((len(starts) - 1, SLOTS), 0xFFFF, np.uint16)
     if len(full):
         permuted = np.empty_like(shingles)
         for j in range(SLOTS):
             np.multiply(shingles, FACTORS[j], out=permuted)
             permuted += TERMS[j]
             out[full, j] = (np.minimum.reduceat(permuted, starts[full]) * _FOLD) >> np.uint64(48)
-    return out, counts
+    return out
+
+
+def text_slots(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The slots of each text of a block, and its number of shingles with repeats."""
+    rows, shingles = shingle_hashes(data, offsets, k)
+    if len(rows) and (np.diff(rows) < 0).any():
+        order = np.argsort(rows, kind="stable")
+        rows, shingles = rows[order], shingles[order]
+    starts = np.searchsorted(rows, np.arange(len(offsets)))
+    return minhash(shingles, starts), np.diff(starts)
 
 
 def likeness(a: np.ndarray, b: np.ndarray, count_a: np.ndarray, count_b: np.ndarray) -> np.ndarray:
@@ -63,24 +76,87 @@ def likeness(a: np.ndarray, b: np.ndarray, count_a: np.ndarray, count_b: np.ndar
     return share
 
 
-def hexed(slots: np.ndarray) -> list[str]:
-    return [row.astype(">u2").tobytes().hex() for row in slots]
+def packed(slots: np.ndarray) -> pa.Array:
+    return pa.array([row.tobytes() for row in slots.astype(">u2")], pa.binary())
 
 
 def fingerprints(docs: DataFrame, k: int = 5) -> DataFrame:
     """(doc_id, fingerprint) for every row of documents (doc_id, text, anything else).
 
-    The fingerprint is a string of 4 hexadecimal digits for each of `SLOTS` permutations, over shingles of ``k`` words,
-    A-Z in lower case; fewer words are one shingle. Texts without words, empty and null ones have ``ffff`` throughout.
+    The fingerprint has 2 bytes for each of `SLOTS` permutations, over shingles of ``k`` words, A-Z in lower case; fewer
+    words are one shingle. Texts without words, empty and null ones have all bits set.
     Rows that repeat a doc_id or a whole row each give a row, equal texts equal fingerprints, and an empty table none.
     """
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in blocks(batches):
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(hexed(minhash(data, offsets, k)[0]))], names=["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), packed(text_slots(data, offsets, k)[0])], names=["doc_id", "fingerprint"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint binary")
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint string")
+
+def signed_sets(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n_shingles, set_a, set_b, sketch): the size, a 128-bit sum and the slots of each document's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in blocks(batches):
+            shingles, starts = doc_sets(data, offsets, k)
+            sums = []
+            for salt in (0x452821E638D01377, 0xBE5466CF34E90C6C):
+                total = np.append(np.uint64(0), np.cumsum(mix(shingles ^ np.uint64(salt)), dtype=np.uint64))
+                sums.append((total[starts[1:]] - total[starts[:-1]]).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id").cast(pa.int64()), pa.array(np.diff(starts).astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), packed(minhash(shingles, starts))],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "sketch"],
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, sketch binary")
+
+
+def band_hashes(classes: DataFrame) -> DataFrame:
+    """(doc_id, band) for every band of the slots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            slots = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), ">u2").reshape(batch.num_rows, -1)
+            bands = slots[:, : BANDS * BAND_SLOTS].reshape(batch.num_rows, BANDS, BAND_SLOTS).astype(np.uint64)
+            key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), bands.shape[:2])
+            for j in range(BAND_SLOTS):
+                key = (key << np.uint64(16)) | bands[:, :, j]
+            ids = np.repeat(batch.column("doc_id").to_numpy(), BANDS)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(key.ravel().view(np.int64))], names=["doc_id", "band"])
+
+    return classes.select("doc_id", "sketch").mapInArrow(run, "doc_id long, band long")
+
+
+def could_be_alike(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
+    limit = percent / 100
+    return (a == b).mean(1) >= limit - DEVIATIONS * np.sqrt(limit * (1 - limit) / SLOTS)
+
+
+def alike(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, group_id) for every row of documents (a whole-number doc_id, text, anything else).
+
+    ``n_shingles`` is the number of distinct shingles of ``k`` words; ``group_id`` is the smallest doc_id that links of a
+    Jaccard similarity of at least ``percent`` in a hundred reach. Bands of fingerprint slots bring candidates together;
+    equal sets are one class from the start, large bands and groups are worked on in pieces, and full sets decide.
+
+    A null or empty text, or one without words, has no shingles and is its own group. Rows that repeat a doc_id are one
+    document. A row without a doc_id belongs to the group of its text, but names none; alone, its group is null. An
+    empty table gives no rows.
+    """
+    drawn = stored(signed_sets(docs, k))
+    key = ["n_shingles", "set_a", "set_b"]
+    copies = drawn.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
+    more = stored(copies.where("copies > 1").select(*key, "class_id"))
+    classed = drawn.join(more, key, "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
+    firsts = classed.where("n_shingles > 0 and doc_id = class_id").dropDuplicates(["doc_id", "set_a", "set_b"]).select("doc_id", "n_shingles", "sketch")
+    ties = candidate_ties(band_hashes(firsts), firsts, could_be_alike, percent)
+    found = components(links(docs, k, percent, firsts, ties)).select(F.col("node").alias("class_id"), "component")
+    return classed.join(found, "class_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("group_id"))
 
 
 def in_order(docs: DataFrame) -> DataFrame:
@@ -115,11 +191,11 @@ def in_order(docs: DataFrame) -> DataFrame:
             ids, hashes = batch.column("doc_id").fill_null(_LOW).to_numpy(), batch.column("hash").to_numpy()
             part = placed(ids, hashes, bounds).astype(np.int32)
             texts = [x.as_buffer() for x in batch.column("text").cast(pa.large_binary())]
-            packed = pa.array([codec.compress(x, asbytes=True) for x in texts], pa.binary())
+            small = pa.array([codec.compress(x, asbytes=True) for x in texts], pa.binary())
             every = np.arange(len(part))
             again = np.flatnonzero((first[0][part] == ids) & (first[1][part] == hashes))
             take = pa.array(np.concatenate([every, again]))
-            columns = [batch.column("doc_id"), batch.column("hash"), pa.array([x.size for x in texts], pa.int64()), packed]
+            columns = [batch.column("doc_id"), batch.column("hash"), pa.array([x.size for x in texts], pa.int64()), small]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([part, before[part[again]]])), pa.array(np.repeat(np.array([0, 1], np.int32), [len(every), len(again)]))]
                 + [c.take(take) for c in columns],
@@ -139,8 +215,8 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, p
         step = np.searchsorted(np.cumsum(sizes), np.arange(AT_ONCE, int(sizes.sum()) + AT_ONCE, AT_ONCE), "right")
         for a, b in zip([0, *step], [*step, len(sizes)], strict=True):
             if a < b:
-                packed = batch.column("packed").slice(a, b - a)
-                texts = [codec.decompress(p.as_buffer(), decompressed_size=int(s), asbytes=True) if s else b"" for p, s in zip(packed, sizes[a:b], strict=True)]
+                small = batch.column("packed").slice(a, b - a)
+                texts = [codec.decompress(p.as_buffer(), decompressed_size=int(s), asbytes=True) if s else b"" for p, s in zip(small, sizes[a:b], strict=True)]
                 yield ahead[a:b], batch.column("doc_id").slice(a, b - a), texts
 
 
@@ -176,7 +252,7 @@ def edit_likeness(docs: DataFrame, k: int = 5) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None
         for ahead, ids, texts in _unpacked(batches):
-            slots, counts = minhash(*_block(texts), k)
+            slots, counts = text_slots(*_block(texts), k)
             if held is not None:
                 ahead, ids, texts = np.append(held[0], ahead), pa.concat_arrays([held[1], ids]), held[2] + texts
                 slots, counts = np.concatenate([held[3], slots]), np.append(held[4], counts)
@@ -186,11 +262,11 @@ def edit_likeness(docs: DataFrame, k: int = 5) -> DataFrame:
             changed, chars = edited(texts)
             own = np.flatnonzero(ahead[:-1] == 0)
             changed = [changed[i] for i in own]
-            new, new_counts = minhash(*_block(changed), k)
+            new, new_counts = text_slots(*_block(changed), k)
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids.take(pa.array(own)), pa.array(chars[own].astype(np.int64)), pa.array([hashlib.sha256(t).hexdigest() for t in changed], pa.string()),
-                    pa.array(hexed(slots[own]), pa.string()), pa.array(hexed(new), pa.string()),
+                    ids.take(pa.array(own)), pa.array(chars[own].astype(np.int64)), pa.array([hashlib.sha256(t).digest() for t in changed], pa.binary()),
+                    packed(slots[own]), packed(new),
                     pa.array(likeness(slots[own], new, counts[own], new_counts)),
                     pa.array(likeness(slots[own], slots[own + 1], counts[own], counts[own + 1])),
                 ],
@@ -198,5 +274,5 @@ def edit_likeness(docs: DataFrame, k: int = 5) -> DataFrame:
             )
 
     return in_order(docs).drop("hash", "part").mapInArrow(
-        run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+        run, "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
     )

@@ -13,7 +13,7 @@ task of their own. So no pairs of a group are ever listed, no task holds a whole
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bedfeed.llm.common import blocks, mix, shingle_hashes, stored, without
+from bedfeed.llm.common import blocks, could_be_of, mix, shingle_hashes, stored, without
 from bedfeed.llm.components import components
 
 BUCKET_BITS = 8
@@ -31,9 +31,8 @@ BAND_ROWS = 5
 BANDS = (1 << BUCKET_BITS) // BAND_ROWS
 # Rows of a piece of a large band or family; two pieces meet in a task.
 PIECE = 1000
-# Sets of this size and more bring only their first registers to the bands.
-LONG_SET = 128
-SHORT_SKETCH = 64
+# Pairs whose estimate is this many deviations below the threshold are no candidates.
+DEVIATIONS = 6
 
 
 def doc_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,21 +135,21 @@ def whole_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table
 
 
 def could_link(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether pairs of short sketches leave a link possible: five deviations below the threshold still do."""
-    long = (size_a >= LONG_SET) | (size_b >= LONG_SET)
-    full = (a != 0) & (a == b)
-    some = (a != 0) | (b != 0)
-    equal = np.where(long, full[:, :SHORT_SKETCH].sum(1), full.sum(1))
-    used = np.where(long, some[:, :SHORT_SKETCH].sum(1), some.sum(1))
+    """Whether pairs of sketches leave a link possible: all registers count, six deviations below the threshold still do."""
+    equal = ((a != 0) & (a == b)).sum(1)
+    used = ((a != 0) | (b != 0)).sum(1)
     share = (equal / np.maximum(used, 1) - CHANCE) / (1 - CHANCE)
     limit = percent / 100
     unseen = np.maximum(0.2, 1 - used * (1 + limit) / (size_a + size_b))
-    fits = 100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)
-    return fits & (share >= limit - 5 * np.sqrt(limit * (1 - limit) * unseen / np.maximum(used, 1)))
+    return share >= limit - DEVIATIONS * np.sqrt(limit * (1 - limit) * unseen / np.maximum(used, 1))
 
 
-def band_ties(percent: int):
-    """Ties (a, b) that connect the rows of each run which could be linked, between its two pieces or within one."""
+def band_ties(could: Callable[..., np.ndarray], percent: int):
+    """Ties (a, b) that connect the rows of each run which could be linked, between its two pieces or within one.
+
+    ``could`` judges pairs of sketches, given with the sizes of the sets and the threshold; sizes that are too far apart
+    for a link are not shown to it.
+    """
 
     def of_rows(rows: pa.Table) -> tuple[list[int], list[int]]:
         keys = rows.column("key").to_numpy()
@@ -158,9 +157,7 @@ def band_ties(percent: int):
         keys, rows = keys[order], rows.take(pa.array(order))
         ids, sizes = rows.column("doc_id").to_numpy(), rows.column("n_shingles").to_numpy()
         side = rows.column("side").to_numpy()
-        sketch = np.zeros((len(keys), 1 << BUCKET_BITS), np.uint16)
-        for i, x in enumerate(rows.column("sketch").to_pylist()):
-            sketch[i, : len(x) // 2] = np.frombuffer(x, np.uint16)
+        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint16).reshape(len(keys), -1)
         roots, a, b = np.arange(len(keys)), [], []
         at = np.arange(len(keys))
         for step in range(1, len(keys)):
@@ -170,8 +167,9 @@ def band_ties(percent: int):
                 break
             for part in np.array_split(at, len(at) // 5000 + 1):
                 i = part[(roots[part] != roots[part + step]) & ((side[part] < 0) | (side[part] != side[part + step]))]
+                i = i[100 * np.minimum(sizes[i], sizes[i + step]) >= percent * np.maximum(sizes[i], sizes[i + step])]
                 j = i + step
-                yes = could_link(sketch[i], sketch[j], sizes[i], sizes[j], percent)
+                yes = could(sketch[i], sketch[j], sizes[i], sizes[j], percent)
                 for x, y in zip(i[yes].tolist(), j[yes].tolist(), strict=True):
                     x_root, y_root = _root(roots, x), _root(roots, y)
                     if x_root != y_root:
@@ -190,14 +188,12 @@ def band_ties(percent: int):
     return run
 
 
-def candidate_ties(classes: DataFrame, percent: int) -> DataFrame:
-    """Ties (a, b) between classes that share a band and could be linked."""
-    bands = band_keys(classes)
+def candidate_ties(bands: DataFrame, classes: DataFrame, could: Callable[..., np.ndarray], percent: int) -> DataFrame:
+    """Ties (a, b) between classes (doc_id, n_shingles, sketch) that share a band (doc_id, band) and could be linked."""
     shared = bands.groupBy("band").agg(F.count("*").alias("rows")).where("rows > 1")
     cuts = F.ceil(F.col("rows") / PIECE).cast("int")
     met = bands.join(shared, "band").select("doc_id", "band", cuts.alias("cuts"))
-    sketch = F.when(F.col("n_shingles") >= LONG_SET, F.substring("registers", 1, 2 * SHORT_SKETCH)).otherwise(F.col("registers"))
-    met = met.join(classes.select("doc_id", "n_shingles", sketch.alias("sketch")), "doc_id")
+    met = met.join(classes.select("doc_id", "n_shingles", "sketch"), "doc_id")
     # A band of one piece is one run; else every row goes to the runs of its piece with each other one. `side` tells
     # the pieces of a run apart, where it has two.
     own = F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int")
@@ -205,7 +201,7 @@ def candidate_ties(classes: DataFrame, percent: int) -> DataFrame:
     key = F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other"))
     side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1)
     met = met.select(key.alias("key"), "doc_id", "n_shingles", "sketch", side.alias("side"))
-    return met.repartition("key").sortWithinPartitions("key").mapInArrow(band_ties(percent), "a long, b long")
+    return met.repartition("key").sortWithinPartitions("key").mapInArrow(band_ties(could, percent), "a long, b long")
 
 
 def _full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -268,9 +264,11 @@ def linker(percent: int):
     return run
 
 
-def links(docs: DataFrame, k: int, percent: int, classes: DataFrame) -> DataFrame:
-    """Links (a, b) between classes that connect everything that true links connect."""
-    ties = candidate_ties(classes, percent)
+def links(docs: DataFrame, k: int, percent: int, classes: DataFrame, ties: DataFrame) -> DataFrame:
+    """Links (a, b) between classes (doc_id, n_shingles) that connect everything that true links connect.
+
+    Ties (a, b) connect at least what true links connect.
+    """
     families = stored(components(ties).select(F.col("node").alias("doc_id"), F.col("component").alias("family")))
     # A document's set is at least `percent` of a linked one's, so it lies in the same or the next size level. The
     # levels of a large family are cut into pieces by a hash; every two pieces that can hold a link meet in one task.
@@ -291,7 +289,7 @@ def links(docs: DataFrame, k: int, percent: int, classes: DataFrame) -> DataFram
     own = F.col("level").cast("long") * (1 << 32) + F.col("cut")
     others = F.concat(pieces(0, "cuts"), pieces(1, "next_cuts"), pieces(-1, "last_cuts"))
     placed = member.select("doc_id", "family", own.alias("piece"), others.alias("others"))
-    texts = docs.select("doc_id", "text").join(placed, "doc_id")
+    texts = could_be_of(docs.select("doc_id", "text"), placed).join(placed, "doc_id")
     texts = texts.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "piece", "_text"]).drop("_text")
     sets = _full_sets(texts.select(F.col("doc_id").alias("node"), "family", "piece", "others", "text"), k)
     met = sets.withColumn("other", F.explode("others")).select(
@@ -319,7 +317,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     more = stored(classes.where("copies > 1").select(*key, "class_id"))
     owned = stored(drawn.join(more, key, "left").withColumn("class_id", F.when(F.col("n_shingles") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id"))))
     firsts = owned.where("n_shingles > 0 and doc_id = class_id").dropDuplicates(["doc_id", "set_a", "set_b"]).select("doc_id", "n_shingles", "registers")
-    found = components(links(docs, k, percent, firsts)).select(F.col("node").alias("class_id"), "component")
+    ties = candidate_ties(band_keys(firsts), firsts.withColumnRenamed("registers", "sketch"), could_link, percent)
+    found = components(links(docs, k, percent, firsts, ties)).select(F.col("node").alias("class_id"), "component")
     out = owned.select("doc_id", "n_shingles", "class_id").join(found, "class_id", "left")
     component = F.coalesce("component", "class_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

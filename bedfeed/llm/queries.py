@@ -110,7 +110,11 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edit_likeness(table(spark, sf_dir, "documents"), k=5)
+    docs = table(spark, sf_dir, "documents")
+    groups = fingerprints.alike(docs, k=5, percent=80).dropDuplicates(["doc_id"])
+    found = fingerprints.edit_likeness(docs, k=5).join(groups, "doc_id", "left")
+    hexed = [F.lower(F.hex(c)).alias(c) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")]
+    return found.select("doc_id", "n_chars", *hexed, "near_edited", "near_next", "n_shingles", "group_id")
 
 
 ORACLES["op1_secret_scan"] = oracles.SECRETS

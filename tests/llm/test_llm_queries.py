@@ -13,7 +13,7 @@ COLUMNS = {
     "op6": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op7": "doc_id n_words n_tokens n_unknown",
     "op10": "doc_id size text_crc32 law shard slot grown_shard",
-    "op13": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+    "op13": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next n_shingles group_id",
 }
 
 

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bedfeed.llm import filter_audit, fingerprints, lexical
+from bedfeed.llm import filter_audit, fingerprints, lexical, near_dedup
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
@@ -166,6 +166,10 @@ def slots_of(text, k=5):
     return "".join(f"{((m * 0x9E3779B97F4A7C15) & full) >> 48:04x}" for m in least)
 
 
+def likeness_rows(docs):
+    return sorted((tuple(x.hex() if isinstance(x, (bytes, bytearray)) else x for x in r) for r in fingerprints.edit_likeness(docs).collect()), key=str)
+
+
 def fingerprinted(pairs):
     order = sorted(pairs, key=lambda p: (p[0] is not None, p[0] or 0))
     out = []
@@ -190,19 +194,18 @@ def test_edited_fingerprints(spark, docs, texts, monkeypatch, part_bytes):
     monkeypatch.setattr(fingerprints, "AT_ONCE", 30_000)
     short = [(i, t if len(t or "") < 4_000 else t[:4_000]) for i, t in texts]
     table = docs.withColumn("text", F.when(F.length("text") < 4_000, F.col("text")).otherwise(F.substring("text", 1, 4_000)))
-    assert sorted((tuple(r) for r in fingerprints.edit_likeness(table).collect()), key=str) == fingerprinted(short)
+    assert likeness_rows(table) == fingerprinted(short)
 
 
 def test_fingerprints_of_odd_tables(spark, empty, repeated):
     schema = "doc_id long, text string"
     assert fingerprints.edit_likeness(empty).collect() == [] and fingerprints.fingerprints(empty).collect() == []
     for rows in ([(None, "a b c d e f g h")], [(1, None), (2, "")], [(3, "é" * 9), (-5, "x y"), (None, "zz " * 40), (9, "q")]):
-        out = fingerprints.edit_likeness(spark.createDataFrame(rows, schema))
-        assert sorted((tuple(r) for r in out.collect()), key=str) == fingerprinted(rows)
+        assert likeness_rows(spark.createDataFrame(rows, schema)) == fingerprinted(rows)
     assert fingerprints.edit_likeness(repeated).count() == repeated.count()
     by_text = {}
     for r in fingerprints.fingerprints(repeated.withColumn("doc_id", F.coalesce("text", F.lit("")))).collect():
-        by_text.setdefault(r.doc_id, set()).add(r.fingerprint)
+        by_text.setdefault(r.doc_id, set()).add(bytes(r.fingerprint))
     assert all(len(x) == 1 for x in by_text.values())
 
 
@@ -212,6 +215,57 @@ def test_likeness_estimates_jaccard():
     a, b = words[:2000], words[400:2400]
     sets = [{tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (a, b)]
     texts = [" ".join(x).encode() for x in (a, b)]
-    slots, counts = fingerprints.minhash(*fingerprints._block(texts), 5)
+    slots, counts = fingerprints.text_slots(*fingerprints._block(texts), 5)
     true = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
     assert abs(fingerprints.likeness(slots[:1], slots[1:], counts[:1], counts[1:])[0] - true) < 0.2
+
+
+@pytest.mark.parametrize("k", [4, 5])
+def test_alike(spark, docs, texts, k):
+    out = {r.doc_id: (r.n_shingles, r.group_id) for r in fingerprints.alike(docs, k).collect()}
+    assert out == brute.near(texts, k)
+
+
+def pairs_at_the_limit(n):
+    """Pairs of texts whose sets of 5-word shingles have a similarity of 0.80 to 0.82, of many sizes."""
+    random.seed(12)
+    rows = []
+    for i in range(n):
+        size = random.choice([9, 20, 45, 130, 400, 1000])
+        words = [f"a{i}x{j}" for j in range(size + 4)]
+        cut = math.floor(size / 9)  # (size - cut) / (size + cut) is 0.8 and little more
+        other = words[:-cut] + [f"b{i}x{j}" for j in range(cut)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    return rows
+
+
+def test_no_link_at_the_limit_is_lost(spark):
+    rows = pairs_at_the_limit(1500)
+    sets = [brute.shingles(t, 5) for _, t in rows]
+    both = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True)]
+    assert min(both) >= 0.8 and sum(x <= 0.82 for x in both) > 1000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for out in (near_dedup.near_duplicates(docs, 5).withColumnRenamed("component_id", "group_id"), fingerprints.alike(docs, 5)):
+        assert all(r.group_id == r.doc_id - r.doc_id % 2 for r in out.collect())
+
+
+def test_large_bands_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PIECE", 7)
+    random.seed(2)
+    base = [f"w{j}" for j in range(60)]
+    rows = [(i, " ".join(base[:n] + [f"x{i}"] + base[n:])) for i, n in enumerate(random.choices(range(1, 60), k=40))]
+    rows += [(100 + i, " ".join(f"y{i // 3}x{j}" for j in range(i % 3, 30))) for i in range(30)] + [(200, None), (201, ""), (200, rows[0][1]), (7, rows[7][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expected = brute.near([r for r in rows if r[0] != 200], 5)
+    out = {r.doc_id: r.group_id for r in fingerprints.alike(docs, 5).where("doc_id <> 200").collect()}
+    assert out == {i: g for i, (_, g) in expected.items()}
+
+
+def test_groups_of_odd_rows(spark, empty, repeated):
+    assert fingerprints.alike(empty).collect() == []
+    text = " ".join(f"word{i}" for i in range(80))
+    rows = fingerprints.alike(repeated).collect()
+    assert len(rows) == repeated.count()
+    assert {r.group_id for r in rows if r.doc_id is None} == {1, None} and {r.group_id for r in rows if r.doc_id in (1, 2)} == {1}
+    alone = spark.createDataFrame([(None, text), (5, "q")], "doc_id long, text string")
+    assert {(r.doc_id, r.group_id) for r in fingerprints.alike(alone).collect()} == {(None, None), (5, 5)}
