@@ -14,8 +14,8 @@ from bedfeed.session import scratch_dir
 # Fixed value: the white space that parts words.
 SPACE = r"[\x20\x09-\x0D]"
 
-# Bits of a bitmap of ids: 16 MB.
-BITMAP_BITS = 1 << 27
+# Bits of a bitmap of ids: 4 MB.
+BITMAP_BITS = 1 << 25
 
 # Texts are worked on in blocks of about this many bytes, so that numpy's arrays stay small.
 BLOCK_BYTES = 1 << 20

@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bedfeed.llm.banding import candidate_ties, links
 from bedfeed.llm.common import blocks, mix, shingle_hashes, stored
 from bedfeed.llm.components import components
-from bedfeed.llm.near_dedup import candidate_ties, doc_sets, links
+from bedfeed.llm.near_dedup import doc_sets
 from bedfeed.llm.sharding import placed, splitters
 
 SLOTS = 64

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bedfeed.llm import filter_audit, fingerprints, lexical, near_dedup
+from bedfeed.llm import banding, filter_audit, fingerprints, lexical, near_dedup
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
@@ -250,7 +250,7 @@ def test_no_link_at_the_limit_is_lost(spark):
 
 
 def test_large_bands_are_cut(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "PIECE", 7)
+    monkeypatch.setattr(banding, "PIECE", 7)
     random.seed(2)
     base = [f"w{j}" for j in range(60)]
     rows = [(i, " ".join(base[:n] + [f"x{i}"] + base[n:])) for i, n in enumerate(random.choices(range(1, 60), k=40))]
