@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bedfeed.operators import patients
@@ -15,7 +15,7 @@ from bedfeed.plans.synth import table
 from bedfeed.session import scratch_dir
 from bedfeed.sources.state import load_state
 from bedfeed.sources.tables import read_beds
-from bedfeed.streaming import feeds
+from bedfeed.streaming import event_time, feeds
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,3 +153,55 @@ def stream_patient_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = located_messages(synth.messages_from_events(arriving), synth.site_tables(spark, sf_dir))
     feeds.stream_patient_state(messages, path, scratch_dir(spark), available_now=True).awaitTermination()
     return load_state(spark, path).history.select("hospital", "bed_unit", "bed_id", "pid", "start_ns").distinct()
+
+
+def in_batches(spark: SparkSession, events: DataFrame, number: Column, batches: int) -> DataFrame:
+    """The events as a stream of one file per batch, which are read in the order of their numbers."""
+    files = scratch_dir(spark)
+    for batch in range(batches):
+        events.where(number == batch).coalesce(1).write.mode("append").parquet(files)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+
+
+@query(
+    f"""WITH {table_queries._SEEN_SQL}, f AS (SELECT bed_id, pid, min(ns) AS start_ns FROM s GROUP BY ALL)
+    SELECT bed_id, pid, 'V' || pid[2:] AS visit_id, 'F' || pid[2:] AS first_name, 'L' || pid[2:] AS last_name, start_ns,
+      lead(start_ns) OVER (PARTITION BY bed_id ORDER BY start_ns) AS end_ns FROM f"""
+)
+def stream_corrected_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patient intervals kept by a stream whose batches are out of order in time, so that starts and ends are corrected."""
+    events, path = table(spark, sf_dir, "events"), scratch_dir(spark)
+    arriving = in_batches(spark, events, F.col("event_id") * 7 % 4, 4)
+    changes = event_time.stream_bed_intervals(table_queries.sightings_of(arriving))
+    event_time.write_bed_intervals(changes, path, scratch_dir(spark), available_now=True).awaitTermination()
+    return event_time.read_bed_intervals(spark, path).select(
+        "bed_id", "pid", "visit_id", "first_name", "last_name", "start_ns", "end_ns"
+    )
+
+
+# Batches follow each other in time, but every tenth event is held back for two batches.
+_HELD_BACK = "least(3, epoch_ms(ts) // 432000000 % 4 + CASE WHEN event_id % 10 = 0 THEN 2 ELSE 0 END)"
+
+
+@query(
+    f"""{feed_queries._codes_sql(feed_queries._QUALITY_RULES)},
+    c AS (SELECT code, CASE WHEN event_id % 13 <> 0 THEN epoch_ms(ts) END AS ms, {_HELD_BACK} AS b FROM codes),
+    marks AS (SELECT b, coalesce(max(max(ms)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3600000, 0) AS mark,
+      max(max(ms)) OVER () - 3600000 AS last_mark FROM c GROUP BY b),
+    w AS (SELECT ms - ms % 21600000 AS window_ms, code, mark, last_mark FROM c JOIN marks USING (b))
+    SELECT window_ms, code, CASE WHEN window_ms IS NULL THEN 'untimed' WHEN window_ms + 21600000 <= mark THEN 'late' ELSE 'closed' END AS status,
+      count(*) AS messages
+    FROM w WHERE window_ms IS NULL OR window_ms + 21600000 <= last_mark GROUP BY ALL"""
+)
+def stream_closed_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per six hours and quality code in four batches: windows closed by a watermark, late and untimed messages."""
+    events = table(spark, sf_dir, "events")
+    held = F.when(F.col("event_id") % 10 == 0, 2).otherwise(0)
+    number = F.least(F.lit(3), F.call_function("div", F.unix_millis(F.col("ts").cast("timestamp")), F.lit(432_000_000)) % 4 + held)
+    messages = located_messages(
+        synth.doubtful_messages(in_batches(spark, events, number, 4)), synth.site_tables(spark, sf_dir)
+    )
+    counts = event_time.stream_closed_quality(messages, 6 * 3_600_000, "1 hour")
+    with event_time.rocksdb(spark):
+        written = appended(counts)
+    return written.groupBy("window_ms", "code", "status").agg(F.sum("messages").alias("messages"))

@@ -159,7 +159,7 @@ class BedIntervals(StatefulProcessor):
             after = self._neighbour(day, bisect_left(self._day(day), _place(*first[:4], pid)), 1)
             end = MISSING if after is None else after[0]
             out.append((*key, pid, *first[4:], *[None if t == MISSING else t for t in (first[0], end)]))
-        frame = pd.DataFrame(out, columns=[*BED, *PERSON, "start_ns", "end_ns"])
+        frame = pd.DataFrame(out, columns=[*BED, *PERSON, "start_ns", "end_ns"], dtype=object)
         yield frame.astype({"start_ns": "Int64", "end_ns": "Int64"})
 
     def close(self) -> None:
@@ -212,7 +212,16 @@ WINDOW_COUNT = "window_ms bigint, code string, status string, messages bigint"
 
 def _counted(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for block in rows:
-        yield block.groupby(["window_ms", "code"], dropna=False, as_index=False)["messages"].sum().astype({"window_ms": "Int64"})
+        yield block.groupby(["window_ms", "code"], dropna=False, as_index=False)["messages"].sum()
+
+
+def closed_windows(rows: DataFrame, width_ms: int) -> DataFrame:
+    """(window_ms, code, status, messages) of a stream (window_ms, code, messages) that has a watermark but no longer its
+    time: Spark would drop late rows before they can be counted."""
+    rows = rows.withColumn("window_ms", F.coalesce("window_ms", F.lit(MISSING)))
+    return rows.mapInPandas(_counted, COUNT).groupBy("window_ms", "code").transformWithStateInPandas(
+        ClosingWindows(width_ms), outputStructType=WINDOW_COUNT, outputMode="Append", timeMode="EventTime"
+    )
 
 
 class ClosingWindows(StatefulProcessor):
@@ -226,14 +235,14 @@ class ClosingWindows(StatefulProcessor):
         self.count = handle.getValueState("messages", "messages bigint")
 
     def _row(self, key, status: str, messages: int) -> pd.DataFrame:
-        window = _plain(key[0])
+        window = None if key[0] == MISSING else key[0]
         frame = pd.DataFrame({"window_ms": [window], "code": [key[1]], "status": [status], "messages": [messages]})
         return frame.astype({"window_ms": "Int64"})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         found = sum(int(block["messages"].sum()) for block in rows)
-        window = _plain(key[0])
-        if window is None:
+        window = int(key[0])
+        if window == MISSING:
             yield self._row(key, "untimed", found)
         elif window + self.width <= timerValues.getCurrentWatermarkInMs():
             yield self._row(key, "late", found)
@@ -268,10 +277,7 @@ def stream_closed_quality(
         "msh_time", F.timestamp_micros(F.call_function("div", F.col("msh_time_ns"), F.lit(1000)))
     )
     at = F.unix_millis("msh_time")
-    # The time itself stays behind: Spark would drop late rows before they can be counted.
     rows = codes.withWatermark("msh_time", delay).select(
         (at - F.pmod(at, F.lit(window_ms))).alias("window_ms"), "code", F.lit(1).cast("bigint").alias("messages")
     )
-    return rows.mapInPandas(_counted, COUNT).groupBy("window_ms", "code").transformWithStateInPandas(
-        ClosingWindows(window_ms), outputStructType=WINDOW_COUNT, outputMode="Append", timeMode="EventTime"
-    )
+    return closed_windows(rows, window_ms)

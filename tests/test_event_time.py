@@ -33,7 +33,7 @@ def test_intervals_are_corrected(spark, tmp_path, seed):
         sighting(random.randrange(4), random.choice(["", "p", "q", "r", "s", "t", None]), random.choice([None, *range(0, 40)]), n)
         for n in range(150)
     ]
-    rows = [r[:8] + (None if r[8] is None else r[8] * 7 * HOUR - 30 * HOUR,) + r[9:] for r in rows]
+    rows = [r[:8] + (None if r[8] is None else r[8] * 7 * HOUR - 30 * HOUR + 1_700_000_000_000_000_001,) + r[9:] for r in rows]
     batches = [rows[:40], rows[40:60], rows[60:110], rows[110:]]
     stream = written(spark, batches, SCHEMA, str(tmp_path / "in"))
     out = str(tmp_path / "out")
@@ -71,9 +71,7 @@ def test_windows_close_once(spark, tmp_path):
     rows = stream.withColumn("t", F.timestamp_millis("ms")).withWatermark("t", "1 minute").select(
         (F.col("ms") - F.pmod("ms", F.lit(minute))).alias("window_ms"), "code", F.lit(1).cast("bigint").alias("messages")
     )
-    out = rows.mapInPandas(event_time._counted, event_time.COUNT).groupBy("window_ms", "code").transformWithStateInPandas(
-        event_time.ClosingWindows(minute), outputStructType=event_time.WINDOW_COUNT, outputMode="Append", timeMode="EventTime"
-    )
+    out = event_time.closed_windows(rows, minute)
     with event_time.rocksdb(spark):
         out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(
             availableNow=True
