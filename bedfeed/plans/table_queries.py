@@ -408,6 +408,33 @@ def attributed_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+@query(
+    f"""WITH {_SEEN_SQL}, lone AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'B0' ELSE bed_id END AS bed,
+      CASE WHEN event_id % 2 = 0 THEN 1704067200000000000 + (event_id % 1000) * 3600000000 ELSE ns END AS t, event_id % 3 AS own FROM s),
+    i AS (SELECT DISTINCT 'B0' AS bed, 'Q' || (event_id % 50) AS pid, 1704067200000000000 + (event_id % 50) * 72000000000 AS a,
+      1704067200000000000 + (event_id % 50) * 72000000000 + 60000000000 AS b FROM s)
+    SELECT event_id, lone.bed AS bed_id, t, CASE WHEN own = 0 THEN 'own' ELSE coalesce(i.pid, '') END AS pid
+    FROM lone LEFT JOIN i ON lone.bed = i.bed AND a <= t AND t < b"""
+)
+def attributed_hot_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of which half lie in one hour of one bed, attributed by the prefix scan; rows that know their patient keep it."""
+    n, begin = F.col("event_id"), 1_704_067_200_000_000_000
+    hot, start = n % 2 == 0, begin + (n % 50) * 72_000_000_000
+    seen = event_sightings(spark, sf_dir)
+    rows = seen.select(
+        "event_id", "hospital", "bed_unit", F.when(hot, F.lit("B0")).otherwise(F.col("bed_id")).alias("bed_id"),
+        F.when(hot, begin + (n % 1000) * 3_600_000_000).otherwise(F.col("start_ns")).alias("start_t_ns"),
+        F.when(n % 3 == 0, F.lit("own")).otherwise(F.lit("")).alias("pid"),
+    )
+    intervals = seen.select(
+        "hospital", "bed_unit", F.lit("B0").alias("bed_id"), F.concat(F.lit("Q"), n % 50).alias("pid"),
+        *[F.lit("").alias(c) for c in ("visit_id", "first_name", "last_name", "middle_initial")],
+        start.alias("start_ns"), (start + 60_000_000_000).alias("end_ns"),
+    ).distinct()
+    out = patients.attribute_patient(rows, intervals, fill=("pid",), method="sorted")
+    return out.select("event_id", "bed_id", F.col("start_t_ns").alias("t"), "pid")
+
+
 # ---------------------------------------------------------------- observation tables
 
 

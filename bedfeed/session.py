@@ -56,6 +56,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def stored_rows(df: DataFrame) -> DataFrame:
+    """The rows, written once to the shared scratch folder and read from there, whatever executors are lost."""
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A lookup table ready for joins: held as local rows with a broadcast hint when it is small.
 
