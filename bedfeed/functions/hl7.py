@@ -1,7 +1,7 @@
 """HL7 text as column expressions.
 
-The default separators always apply (``|`` field, ``~`` repetition, ``^`` component,
-``&`` subcomponent) and escapes are not decoded. All expressions are null-safe: a missing field is ``''``.
+The default separators apply (``|`` field, ``~`` repetition, ``^`` component, ``&`` subcomponent), also to messages
+that name others, unless these are brought to the default form first; escapes are not decoded. All expressions are null-safe: a missing field is ``''``.
 """
 
 from __future__ import annotations
@@ -12,6 +12,32 @@ from pyspark.sql import functions as F
 # Fixed value: the content of MSH.2, which is never split.
 ENCODING_CHARS = "^~\\&"
 
+# The characters 4 to 8 of a message: field, component, repetition, escape and subcomponent separator.
+SEPARATORS = "|" + ENCODING_CHARS
+_SPLITTING = SEPARATORS.replace("\\", "")
+# Characters that no text has: they stand for characters that are separators by default but not in their message.
+HELD = "".join(chr(0xFDD0 + i) for i in range(len(_SPLITTING)))
+
+
+def with_default_separators(message: Column) -> Column:
+    """A message with its own separators, as its first segment names them, replaced by the default ones.
+
+    One pass over the text. Characters that are separators by default but not in this message are held back as values;
+    ``held_values`` brings them back after the splitting. MSH.2 reads as the default characters; escapes stay as they are.
+    A text that does not start with ``MSH`` and five separators stays as it is; of a character named twice, the first
+    use counts.
+    """
+    own = F.substring(message, 4, len(SEPARATORS))
+    splitting = F.concat(F.substring(own, 1, 3), F.substring(own, 5, 1), F.lit(_SPLITTING))
+    named = message.startswith("MSH") & (F.length(own) == len(SEPARATORS)) & ~own.rlike("[\\r\\n]")
+    rest = F.call_function("translate", F.substring(message, 4 + len(SEPARATORS), 2**31 - 1), splitting, F.lit(_SPLITTING + HELD))
+    return F.when(named & (own != SEPARATORS), F.concat(F.lit("MSH" + SEPARATORS), rest)).otherwise(message)
+
+
+def held_values(value: Column) -> Column:
+    """A value with the characters that ``with_default_separators`` held back."""
+    return F.translate(value, HELD, _SPLITTING)
+
 
 def label(segment: Column) -> Column:
     """Segment name: the text before the first field separator."""

@@ -54,10 +54,16 @@ def _last(segments: Column, labels: Column, name: str) -> Column:
     return hl7.fields(F.get(segments, place.cast("int")))
 
 
-def segment_table(messages: DataFrame, message: str = "message") -> DataFrame:
-    """One row per segment: ``seg_idx``, ``name`` and ``fields`` besides the message columns."""
+def segment_table(messages: DataFrame, message: str = "message", honor_msh_separators: bool = False) -> DataFrame:
+    """One row per segment: ``seg_idx``, ``name`` and ``fields`` besides the message columns.
+
+    With ``honor_msh_separators`` each message is split by the separators that its own MSH segment names.
+    """
     keep = [c for c in messages.columns if c != message]
-    rows = explode_rows(messages, keep, segment_texts(F.col(message)), "segment", "seg_idx")
+    text = F.col(message)
+    if honor_msh_separators:
+        text = hl7.with_default_separators(F.ltrim(text))
+    rows = explode_rows(messages, keep, segment_texts(text), "segment", "seg_idx")
     return rows.select(
         *[c for c in rows.columns if c != "segment"],
         hl7.label(F.col("segment")).alias("name"),
@@ -65,10 +71,11 @@ def segment_table(messages: DataFrame, message: str = "message") -> DataFrame:
     )
 
 
-def value_table(segments: DataFrame, level: int = 5) -> DataFrame:
+def value_table(segments: DataFrame, level: int = 5, honor_msh_separators: bool = False) -> DataFrame:
     """Long table of leaf values: one row per field, repetition, component and subcomponent.
 
-    ``level`` stops the splitting: 2 fields, 3 repetitions, 4 components, 5 subcomponents.
+    ``level`` stops the splitting: 2 fields, 3 repetitions, 4 components, 5 subcomponents. ``honor_msh_separators`` is as
+    it was for the segments.
     """
     keep = [c for c in segments.columns if c != "fields"]
     out = explode_rows(segments, keep, F.col("fields"), "value", "field")
@@ -80,7 +87,7 @@ def value_table(segments: DataFrame, level: int = 5) -> DataFrame:
             F.split("value", separator, -1)
         )
         out = explode_rows(out, [c for c in out.columns if c != "value"], parts, "value", name)
-    return out
+    return out.withColumn("value", hl7.held_values(F.col("value"))) if honor_msh_separators else out
 
 
 def message_level(segments: DataFrame, keys: list[str]) -> DataFrame:

@@ -83,6 +83,30 @@ def leaf_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {EVENTS_SQL}
+    SELECT 'PID' AS name, f AS field,
+      CAST(count(*) * CASE WHEN f IN (3, 18) THEN 5 WHEN f = 5 THEN 2 ELSE 1 END AS BIGINT) AS leaves,
+      CAST(sum(CASE WHEN f = 0 THEN 3 WHEN f IN (3, 18) THEN length('P' || user_id) + 3
+        WHEN f = 5 THEN length('LAST' || user_id) + length('FIRST' || user_id) ELSE 0 END) AS BIGINT) AS chars,
+      CAST(sum(CASE WHEN f = 5 AND event_id % 3 > 0 THEN 1 ELSE 0 END) AS BIGINT) AS held
+    FROM e, range(19) r(f) GROUP BY f"""
+)
+def own_separators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf values of PID in messages of which a third each uses the default separators, others, and those in another
+    order; names hold characters that are separators elsewhere."""
+    texts, n = synth.messages_from_events(event_table(spark, sf_dir)), F.col("msg_idx") % 3
+    other = F.replace(F.translate("message", "|^~\\&", "#$%@!"), F.lit("LAST"), F.lit("LA^T"))
+    turned = F.replace(F.translate("message", "|^~\\&", "^|&~\\"), F.lit("LAST"), F.lit("LA#T"))
+    mixed = texts.withColumn("message", F.when(n == 0, F.col("message")).when(n == 1, other).otherwise(turned))
+    rows = messages.segment_table(mixed, honor_msh_separators=True).where(F.col("name") == "PID")
+    values = messages.value_table(rows, honor_msh_separators=True)
+    return values.groupBy("name", F.col("field").cast("bigint").alias("field")).agg(
+        F.count(F.lit(1)).alias("leaves"), F.sum(F.length("value")).cast("bigint").alias("chars"),
+        F.sum(F.col("value").rlike("LA[#^]T").cast("bigint")).alias("held"),
+    )
+
+
 @query(
     f"""WITH {EVENTS_SQL}
     SELECT CASE event_type WHEN 'view' THEN 'Waveform' WHEN 'click' THEN 'Vitals'

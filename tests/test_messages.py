@@ -229,3 +229,32 @@ def test_plan_moves_no_message(spark, site):
     rows = observations.observations(parse(spark, site, WAVE))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_own_separators(spark):
+    def leaves(text):
+        """The tokens of a message by the characters in its fourth to eighth place, in plain Python."""
+        f, c, r, _, s = text[3:8]
+        out = []
+        for segment in text.splitlines():
+            if segment.strip():
+                for i, field in enumerate(segment.split(f)):
+                    whole = segment.startswith("MSH") and i == 1
+                    out += [i, "^~\\&"] if whole else [(i, x) for rep in field.split(r) for comp in rep.split(c) for x in comp.split(s)]
+        return sorted(map(str, out))
+
+    texts = [
+        "MSH|^~\\&|A^B~C&D\rPID|1|x^y&z~#$\nPV1||#", "MSH#$%@!#A$B%C!D\rPID#1#x$y!z%a^b|c&d~e\\f\n\nPV1##|", "MSH^|&~\\^A|B\rPID^1^x|y\\z&q~r",
+        "MSH||||||a|b", "MSH*:+?;*a:b+c;d.e[f]", "MSHé^~\\&éa|b^céd",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, message string")
+    rows = messages.value_table(messages.segment_table(df, honor_msh_separators=True), honor_msh_separators=True).collect()
+    for n, text in enumerate(texts):
+        if n != 3:
+            found = [str((r.field, r.value)) if (r.name, r.field) != ("MSH", 1) else None for r in rows if r.n == n]
+            plain = sorted(x for x in found if x)
+            assert plain == [x for x in leaves(text) if x.startswith("(")]
+    odd = [None, "", "MSH", "MSH|^", "PID#1", "MSH#$\r%!@"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "n int, message string")
+    same = [messages.segment_table(df, honor_msh_separators=x).select("n", "seg_idx", "name", "fields").collect() for x in (True, False)]
+    assert same[0] == same[1]
