@@ -4,9 +4,13 @@ A page is a list of text nodes, each below a path of tags from the root. Templat
 under one path, so figures are summed up by path: characters and punctuation marks per node. Both are smoothed over
 the paths in page order, fused by their product, and compared with a threshold that the spread of the page's own paths
 sets. Paths above it are content; so are headings, lists and other blocks between them and behind them under the same
-parent, and the short blocks of an article that has such a path. Markup that names its purpose weighs in: menus, forms,
-scripts and the like count nothing, paths outside of article and main elements count less the more of the text these
-hold, and so do elements whose class, id or role has a word for what is beside the text, unless they hold most of it.
+parent, and the short blocks of an article that has such a path. Markup that names its purpose weighs in: scripts,
+footers, controls and the like count nothing, paths outside of article and main elements count less the more of the text
+these hold, and so do forms, asides and elements whose class, id or role has a word for what is beside the text, unless
+they hold most of it. Readers' comments and teasers never do.
+
+Work and memory grow with the length of a page, however its tags are nested or broken: elements and paths are numbers
+with links to their parents, and the end of a tag is looked for once.
 """
 
 from __future__ import annotations
@@ -27,11 +31,14 @@ RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "nofr
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "param"}
 DROPPED = {
     "head", "script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "audio", "video", "nav", "footer",
-    "aside", "form", "button", "select", "option", "input", "textarea", "label", "fieldset", "dialog", "menu", "title", "xmp", "noembed", "noframes",
+    "button", "select", "option", "input", "textarea", "label", "title", "xmp", "noembed", "noframes",
 }
+# Elements that are beside the text by what they are; a form may also be the frame of the whole page.
+FRAMES = {"form", "fieldset"}
+ASIDES = {"aside", "menu", "dialog"}
 BLOCKS = {
-    "address", "article", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "figcaption", "figure", "h1", "h2", "h3",
-    "h4", "h5", "h6", "header", "hgroup", "hr", "html", "li", "main", "ol", "p", "pre", "section", "summary", "table", "caption", "tbody",
+    "address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure",
+    "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "menu", "hgroup", "hr", "html", "li", "main", "ol", "p", "pre", "section", "summary", "table", "caption", "tbody",
     "td", "tfoot", "th", "thead", "tr", "ul",
 }
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -46,7 +53,7 @@ _SIDE = set(SIDE_WORDS)
 # Of these, words that may also name a frame around the article, which an article or main element inside then shows.
 _FRAME = set("sidebar side header menu nav widget banner modal overlay form".split())
 # And words that hold for an article element as well: it may be a reader's comment or a teaser.
-_OTHER_ARTICLE = set("ad ads advert advertisement sponsored promo related recommended comment comments reply replies responses discussion".split())
+_OTHER_ARTICLE = set("ad ads advert advertisement sponsored promo related recommended comment comments reply replies responses discussion disqus".split())
 # A class that begins like this tells what a page has, not what the element is.
 _HAVING = {"has", "with", "no", "without", "is", "hide", "show", "category", "tag", "layout"}
 # And one that ends like this tells what state it is in.
@@ -57,7 +64,8 @@ CLOSED_BY = {
     "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}, "option": {"option"},
 }
 
-_PART = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+_STOP = re.compile(r"[>\"']")
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|aria-hidden|hidden|style|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I | re.S)
 _WORD = re.compile(r"[A-Za-z]+")
 _MARKS = re.compile(r"[.,;:!?…、。，！？]")
@@ -78,27 +86,81 @@ REST = 0.1
 TEXT_BLOCKS = {"p", "ul", "ol", "dl", "table", "pre", "blockquote", "figure"} | HEADINGS
 
 
+# What an element is beside the text for: nothing, a word or tag that a frame of the article may have as well, one that it
+# may not, one of readers' comments and teasers; and what never is main text.
+PLAIN, FRAME, BESIDE, OTHER, NEVER = range(5)
+
+
 @dataclass
 class Node:
-    path: tuple[str, ...]
+    """A block of text: the numbers of its path, its innermost element and its innermost side, and what it is in."""
+
+    path: int
+    element: int
+    side: int
     text: str
     main: bool
-    ids: tuple[int, ...] = ()  # the elements of the path
-    sides: tuple[int, ...] = ()  # those that are beside the text by their words
+    article: int
+
+
+class Page:
+    """The blocks of a page, and the paths, elements and sides they lie in; number 0 stands for none.
+
+    A path is the tags from the root, an element one place of the page, and a side an element beside the text. Each has
+    its tag or kind and a link to what it lies in, whose number is smaller.
+    """
+
+    def __init__(self) -> None:
+        self.nodes: list[Node] = []
+        self.path_tag, self.path_up, self.path_h1 = [""], [0], [False]
+        self.tag, self.up = [""], [0]
+        self.side_kind, self.side_up, self.side_strict = [PLAIN], [0], [0]
+        self._known: dict[tuple[int, str], int] = {}
+
+    def path(self, up: int, tag: str) -> int:
+        found = self._known.get((up, tag))
+        if found is None:
+            found = self._known[up, tag] = len(self.path_tag)
+            self.path_tag.append(tag)
+            self.path_up.append(up)
+            self.path_h1.append(tag == "h1" or self.path_h1[up])
+        return found
+
+    def element(self, up: int, tag: str) -> int:
+        self.tag.append(tag)
+        self.up.append(up)
+        return len(self.tag) - 1
+
+    def side(self, up: int, kind: int) -> int:
+        """A new side; ``side_strict`` is the same chain without its frames."""
+        number = len(self.side_kind)
+        self.side_kind.append(kind)
+        self.side_up.append(up)
+        strict = self.side_strict[up]
+        if kind == FRAME:
+            self.side_strict.append(strict)
+        elif strict == up:
+            self.side_strict.append(number)
+        else:
+            self.side_strict.append(number + 1)
+            self.side_kind.append(kind)
+            self.side_up.append(strict)
+            self.side_strict.append(number + 1)
+        return number
 
 
 def _side(name: str, attributes: str, main: bool) -> int:
-    """0 for an element that may hold main text, 1 for one whose words say it is beside the text but for an article
-    inside, 2 for one that an article inside does not change, 3 for one that never is main text."""
+    """What an element is beside the text for, by its tag and its words."""
     if name in DROPPED or (name == "header" and not main):
-        return 3
+        return NEVER
+    kind = FRAME if name in FRAMES else BESIDE if name in ASIDES else PLAIN
     if name in ("html", "body", "main") or not attributes:
-        return 0
+        return kind
     found: set[str] = set()
     for key, *values in _NAMES.findall(attributes):
         key, value = key.lower(), "".join(values).lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
-            return 3
+            return NEVER
         if key in ("class", "id", "role"):
             for token in value.split():
                 words = _WORD.findall(token)
@@ -107,36 +169,79 @@ def _side(name: str, attributes: str, main: bool) -> int:
     found &= _OTHER_ARTICLE if name == "article" or name in HEADINGS else _SIDE
     if main:
         found.discard("header")  # of the article
-    return 0 if not found else 1 if found <= _FRAME else 2
+    words = PLAIN if not found else OTHER if found & _OTHER_ARTICLE else FRAME if found <= _FRAME else BESIDE
+    return max(kind, words)
+
+
+@dataclass
+class _Open:
+    tag: str
+    never: bool
+    main: bool
+    block: bool
+    path: int
+    element: int
+    side: int
+    article: int
+
+
+# What the end of an element without a tag is looked for under.
+_WALLS = {"ul", "ol", "table", "dl", "div", "td", "th", "article", "section", "body", "blockquote"}
+_CLOSES: dict[str, list[str]] = {}
+for _tag, _by in CLOSED_BY.items():
+    for _name in _by:
+        _CLOSES.setdefault(_name, []).append(_tag)
 
 
-def nodes_of(html: str) -> list[Node]:
-    """The blocks of text of a page in order, each with its path; what is beside the main text is left out."""
-    stack: list[tuple[str, bool, bool, bool, int, tuple[tuple[int, int], ...]]] = []  # tag, never, main, block, number, sides with their kinds
-    out: list[Node] = []
-    parts: list[tuple[str, tuple[int, ...]]] = []  # text, and what it is beside the text by
-    path: tuple[str, ...] = ()
-    number = 0
+def page_of(html: str) -> Page:
+    """The blocks of text of a page in order; what never is main text is left out."""
+    page = Page()
+    root = _Open("", False, False, False, 0, 0, 0, 0)
+    stack = [root]
+    opened: dict[str, int] = {}
+    parts: list[tuple[str, int]] = []  # text, and its innermost side
 
     def add(text: str) -> None:
-        if not (stack and stack[-1][1]):
-            parts.append((text, tuple(i for i, _ in stack[-1][5]) if stack else ()))
+        if not stack[-1].never:
+            parts.append((text, stack[-1].side))
 
     def flush() -> None:
         if parts:
             # What is beside the text within a line is a block of its own.
-            for sides in dict.fromkeys(x[1] for x in parts):
-                text = " ".join(unescape("".join(x[0] for x in parts if x[1] == sides)).split())
+            by_side: dict[int, list[str]] = {}
+            for text, side in parts:
+                by_side.setdefault(side, []).append(text)
+            top = stack[-1]
+            for side, texts in by_side.items():
+                text = " ".join(unescape("".join(texts)).split())
                 if text:
-                    out.append(Node(path, text, bool(stack) and stack[-1][2], tuple(x[4] for x in stack), sides))
+                    page.nodes.append(Node(top.path, top.element, side, text, top.main, top.article))
             parts.clear()
 
     def close(n: int) -> None:
-        nonlocal path
-        if any(x[3] for x in stack[n:]):
+        if any(x.block for x in stack[n:]):
             flush()
+        for x in stack[n:]:
+            opened[x.tag] -= 1
         del stack[n:]
-        path = tuple(x[0] for x in stack)
+
+    last, quotes = html.rfind(">"), True
+
+    def tag_end(at: int) -> int:
+        """The place of the ``>`` that ends a tag, -1 if none does. Where a quote leaves no end, quotes mean nothing from
+        there on, so no stretch of the page is searched in vain twice."""
+        nonlocal quotes
+        while quotes and at <= last:
+            found = _STOP.search(html, at)
+            if found[0] == ">":
+                return found.start()
+            behind = html.find(found[0], found.end())
+            if behind < 0:
+                quotes = False
+            at = behind + 1 if behind >= 0 else at
+        if quotes:
+            quotes = last < start
+        return html.find(">", start) if last >= start else -1
 
     at, raw = 0, None
     while at < len(html):
@@ -144,65 +249,78 @@ def nodes_of(html: str) -> list[Node]:
             end = re.compile(rf"</{raw}(?=[\s/>])", re.I).search(html, at)
             at, raw = (end.start() if end else len(html)), None
             continue
-        found = _PART.match(html, at)
-        if not found:  # a tag that is never closed is text up to the next one
-            next_ = html.find("<", at + 1)
-            end = len(html) if next_ < 0 else next_
+        if html[at] != "<":
+            end = html.find("<", at)
+            end = len(html) if end < 0 else end
             add(html[at:end])
             at = end
             continue
-        at = found.end()
-        name = found[2]
-        if name is None:
-            text = found[0]
-            if not text.startswith(("<!", "<?")):
-                add(text)
+        if html.startswith("<!--", at) or html.startswith("<![CDATA[", at):
+            mark = "-->" if html[at + 2] == "-" else "]]>"
+            end = html.find(mark, at + 4)
+            at = len(html) if end < 0 else end + len(mark)
+            continue
+        found = _TAG.match(html, at)
+        start = found.end() if found else at + 1
+        end = -1
+        if found:
+            end = tag_end(start)
+        elif html[at + 1 : at + 2] in ("!", "?") and last > at:
+            end = html.find(">", at)
+            if end >= 0:
+                at = end + 1
+                continue
+        if end < 0:  # a tag that is never closed is text
+            add("<")
+            at += 1
             continue
-        name = name.lower()
+        name, attributes = found[2].lower(), html[start:end]
+        at = end + 1
         if found[1]:
-            for n in range(len(stack) - 1, -1, -1):
-                if stack[n][0] == name:
-                    close(n)
-                    break
-                if stack[n][0] in ("td", "th", "table") and name not in ("table", "tr", "tbody", "thead", "tfoot", "div", "body", "html", "article", "main", "section"):
-                    break
-            else:
-                if name in BLOCKS:
-                    flush()
+            if opened.get(name):
+                for n in range(len(stack) - 1, 0, -1):
+                    if stack[n].tag == name:
+                        close(n)
+                        break
+                    if stack[n].tag in ("td", "th", "table") and name not in ("table", "tr", "tbody", "thead", "tfoot", "div", "body", "html", "article", "main", "section"):
+                        break
+            elif name in BLOCKS:
+                flush()
             continue
         if name in VOID:
-            if name in ("br", "hr") and not (stack and stack[-1][1]):
+            if name in ("br", "hr") and not stack[-1].never:
                 if name == "hr":
                     flush()
                 else:
                     add(" ")
             continue
-        for n in range(len(stack) - 1, -1, -1):
-            if name in CLOSED_BY.get(stack[n][0], ()):
-                close(n)
-                break
-            if stack[n][0] in ("ul", "ol", "table", "dl", "div", "td", "th", "article", "section", "body", "blockquote"):
-                break
-        never, main, sides = (stack[-1][1], stack[-1][2], stack[-1][5]) if stack else (False, False, ())
+        if any(opened.get(x) for x in _CLOSES.get(name, ())):
+            for n in range(len(stack) - 1, 0, -1):
+                if name in CLOSED_BY.get(stack[n].tag, ()):
+                    close(n)
+                    break
+                if stack[n].tag in _WALLS:
+                    break
         block = name in BLOCKS or name in DROPPED - {"button", "label", "select", "option", "input", "math"}
         if block:
             flush()
-        attributes = found[3]
+        top = stack[-1]
+        main, chain = top.main, top.side
         opens = name in ("article", "main") or ("role" in attributes and re.search(r"role\s*=\s*[\"']?main", attributes) is not None) or "articleBody" in attributes
         if opens and not main:
-            sides = tuple(x for x in sides if x[1] > 1)
+            chain = page.side_strict[chain]
         main = main or opens
-        side, number = _side(name, attributes, main), number + 1
-        never = never or side == 3
-        if side in (1, 2):
-            sides = (*sides, (number, side))
+        kind = _side(name, attributes, main)
+        element = page.element(top.element, name)
+        if kind in (FRAME, BESIDE, OTHER):
+            chain = page.side(chain, kind)
         if not attributes.rstrip().endswith("/") or name not in ("svg", "math", "path", "g", "use", "circle", "rect", "line", "polygon"):
-            stack.append((name, never, main, block, number, sides))
-            path = (*path, name)
+            stack.append(_Open(name, top.never or kind == NEVER, main, block, page.path(top.path, name), element, chain, element if name == "article" else top.article))
+            opened[name] = opened.get(name, 0) + 1
             if name in RAW:
                 raw = name
     flush()
-    return out
+    return page
 
 
 def smoothed(values: np.ndarray) -> np.ndarray:
@@ -214,26 +332,39 @@ def smoothed(values: np.ndarray) -> np.ndarray:
     return np.convolve(padded, bell, "valid")
 
 
-def _beside(nodes: list[Node]) -> list[bool]:
-    """Which nodes are beside the text by the words of elements that do not hold most of it themselves."""
-    held: dict[int, int] = {}
-    titled: set[int] = set()
+def _beside(page: Page) -> list[bool]:
+    """Which nodes are beside the text: those in a side that does not hold most of the text itself.
+
+    A side does if it has more than half of the text, and an article, a main or an h1 element or nearly all of the text.
+    Readers' comments and teasers are sides unless they have more than half of the text and an h1 element.
+    """
+    sides = len(page.side_kind)
+    held, titled, headed = [0] * sides, [False] * sides, [False] * sides
     total = 0
-    for n in nodes:
+    for n in page.nodes:
         total += len(n.text)
-        for i in n.sides:
-            held[i] = held.get(i, 0) + len(n.text)
-        if n.main or "h1" in n.path:
-            titled.update(n.sides)
-    most = {i for i, chars in held.items() if 2 * chars > total and (i in titled or total - chars < REST * total)}
-    return [any(i not in most for i in n.sides) for n in nodes]
-
-
-def content(nodes: list[Node]) -> list[Node]:
+        held[n.side] += len(n.text)
+        h1 = page.path_h1[n.path]
+        headed[n.side] |= h1
+        titled[n.side] |= n.main or h1
+    for i in range(sides - 1, 0, -1):
+        up = page.side_up[i]
+        held[up] += held[i]
+        titled[up] |= titled[i]
+        headed[up] |= headed[i]
+    out = [False] * sides
+    for i in range(1, sides):
+        most = 2 * held[i] > total and (headed[i] if page.side_kind[i] == OTHER else titled[i] or total - held[i] < REST * total)
+        out[i] = not most or out[page.side_up[i]]
+    return [out[n.side] for n in page.nodes]
+
+
+def content(page: Page) -> list[Node]:
     """The nodes whose paths are content, and what belongs to them."""
+    nodes = page.nodes
     if not nodes:
         return []
-    beside = _beside(nodes)
+    beside = _beside(page)
     keys = [(n.path, n.main, b) for n, b in zip(nodes, beside, strict=True)]
     paths = list(dict.fromkeys(keys))
     place = {p: i for i, p in enumerate(paths)}
@@ -243,71 +374,69 @@ def content(nodes: list[Node]) -> list[Node]:
         chars[i] += len(n.text)
         marks[i] += len(_MARKS.findall(n.text))
         count[i] += 1
-    ratio, marked = chars / count, 1 + marks / count
-    # A path in the midst of long ones gains by its neighbours, so its own ratios have to be of some weight as well.
-    fused = np.sqrt(smoothed(ratio) * smoothed(marked) * ratio * marked)
     main, side = np.array([p[1] for p in paths]), np.array([p[2] for p in paths])
-    held = 0.0
-    if main.any():
-        held = chars[main & ~side].sum() / max(1, chars[~side].sum())
-        fused = np.where(main, fused, fused * max(OUTSIDE, 1 - 2 * held))
-    fused = np.where(side, fused * SIDE, fused)
-    # What is beside the text has no say in the threshold.
-    known = fused if side.all() else fused[~side]
-    threshold = min(known.max(), max(known.std(), SHARE * known.max()))
-    least = np.full(len(paths), threshold)
-    if held >= HELD:
-        inside = fused[main & ~side]
-        least[main & ~side] = min(threshold, inside.max(), max(inside.std(), SHARE * inside.max()))
+    fused, least = path_ratios(chars, marks, count, main, side)
     hits = [i for i, key in enumerate(keys) if fused[place[key]] >= least[place[key]]]
     good, kept = set(hits), set(hits)
-    parents = {nodes[i].path[:-1] for i in hits if not beside[i]}
+    parents = {page.path_up[nodes[i].path] for i in hits if not beside[i]}
     # Elements are known by their number, as others may have the same path.
-    holders = {nodes[i].ids[-2] if len(nodes[i].ids) > 1 else 0 for i in hits if not beside[i]}
-    whole: set[int] = set()  # articles with a hit
-    for i in hits:
-        if not beside[i] and (a := _article(nodes[i])) is not None:
-            whole.add(a)
-
-    def goes_on(n: Node) -> bool:
-        """In an element that holds a hit; right in the body, only what is no frame."""
-        for at, i in enumerate((0, *n.ids)):
-            if i in holders:
-                if not at or n.path[at - 1] in ("html", "body"):
-                    if at < len(n.path) and n.path[at] in TEXT_BLOCKS:
-                        return True
-                else:
-                    return True
-        return False
+    holders = {page.up[nodes[i].element] for i in hits if not beside[i]}
+    whole = {nodes[i].article for i in hits if not beside[i]} - {0}  # articles with a hit
+    # From the root down: paths below a parent of hits, and elements that go on with what holds a hit; right in the body
+    # only what is no frame does.
+    below, goes_on = [p in parents for p in range(len(page.path_tag))], [False] * len(page.tag)
+    for i in range(1, len(below)):
+        below[i] = below[i] or below[page.path_up[i]]
+    for i in range(1, len(goes_on)):
+        up = page.up[i]
+        in_body = up in holders and page.tag[up] in ("", "html", "body") and page.tag[i] in TEXT_BLOCKS
+        goes_on[i] = goes_on[up] or in_body or (i in holders and page.tag[i] not in ("html", "body"))
+
+    def heading(n: Node) -> bool:
+        return page.path_tag[n.path] in HEADINGS
 
     first, last = hits[0], hits[-1]
-    while first and not beside[first - 1] and nodes[first - 1].path and nodes[first - 1].path[-1] in HEADINGS and nodes[first - 1].path[:-1] in parents:
+    while first and not beside[first - 1] and heading(nodes[first - 1]) and page.path_up[nodes[first - 1].path] in parents:
         first -= 1
     # In a main element the text begins with its first heading.
-    titles = [i for i in range(first) if nodes[i].main and nodes[hits[0]].main and not beside[i] and nodes[i].path[-1] in HEADINGS]
+    titles = [i for i in range(first) if nodes[i].main and nodes[hits[0]].main and not beside[i] and heading(nodes[i])]
     first = titles[0] if titles else first
     for i, n in enumerate(nodes):
         if beside[i] or i in good:
             continue
         if first <= i <= last:
-            if (n.main and nodes[hits[0]].main) or any(n.path[: len(p)] == p for p in parents):
-                kept.add(i)
-        elif i > last or n.main:
-            if goes_on(n):
+            if (n.main and nodes[hits[0]].main) or below[n.path]:
                 kept.add(i)
-        if _article(n) in whole:
+        elif (i > last or n.main) and goes_on[n.element]:
+            kept.add(i)
+        if n.article in whole:
             kept.add(i)
     # An article inside that has no hit of its own is no part of the text around it.
-    return [n for i, n in enumerate(nodes) if i in good or (i in kept and ((a := _article(n)) is None or a in whole))]
+    return [n for i, n in enumerate(nodes) if i in good or (i in kept and (not n.article or n.article in whole))]
 
 
-def _article(n: Node) -> int | None:
-    """The innermost article that a node is in."""
-    return next((i for tag, i in zip(reversed(n.path), reversed(n.ids), strict=True) if tag == "article"), None)
+def path_ratios(chars: np.ndarray, marks: np.ndarray, count: np.ndarray, main: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The fused ratio of every path in page order, and the threshold that holds for it."""
+    ratio, marked = chars / count, 1 + marks / count
+    # A path in the midst of long ones gains by its neighbours, so its own ratios have to be of some weight as well.
+    fused = np.sqrt(smoothed(ratio) * smoothed(marked) * ratio * marked)
+    held = 0.0
+    if main.any():
+        held = chars[main & ~side].sum() / max(1, chars[~side].sum())
+        fused = np.where(main, fused, fused * max(OUTSIDE, 1 - 2 * held))
+    fused = np.where(side, fused * SIDE, fused)
+    # What is beside the text has no say in the threshold.
+    known = fused if side.all() else fused[~side]
+    threshold = min(known.max(), max(known.std(), SHARE * known.max()))
+    least = np.full(len(chars), threshold)
+    if held >= HELD:
+        inside = fused[main & ~side]
+        least[main & ~side] = min(threshold, inside.max(), max(inside.std(), SHARE * inside.max()))
+    return fused, least
 
 
 def main_text(html: str) -> str:
-    return "\n".join(n.text for n in content(nodes_of(html)))
+    return "\n".join(n.text for n in content(page_of(html)))
 
 
 def extracted(pages: DataFrame) -> DataFrame:
