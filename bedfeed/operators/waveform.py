@@ -1,7 +1,8 @@
 """Waveform records: channel ranges, gain and baseline, and digitised record tables.
 
 A record is one (key, start) of a bed. It is kept as two tables, a header row per record and channel and
-the digital samples of each input row, so no task ever holds a whole record.
+the digital samples of each input row, so no task ever holds a whole record. Channels of several rates and rows with
+holes between them are brought on one clock as frames, a block of frames at a time.
 """
 
 from __future__ import annotations
@@ -94,6 +95,7 @@ def record_headers(
         channel,
         record_name(head, F.col("base_ns")).alias("record_name"),
         F.timestamp_micros(F.call_function("div", F.col("base_ns"), F.lit(1000))).alias("base_time"),
+        "base_ns",
         "n_sig",
         "fs",
         "rate_error",
@@ -128,3 +130,91 @@ def record_samples(
         .withColumn("digital", digital)
         .drop(samples, "adc_gain", "baseline")
     )
+
+
+# Frames of a block: what one row of a frame table holds.
+BLOCK_FRAMES = 1024
+
+
+def _gcd(a: Column, b: Column) -> Column:
+    """Greatest common divisor of two longs by Euclid's steps, of which numbers of 64 bits need at most 92."""
+    start = F.struct(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
+    step = lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), F.try_mod(s["a"], s["b"]).alias("b")))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(92)), start, step)["a"]
+
+
+def record_clocks(headers: DataFrame, record: list[str]) -> DataFrame:
+    """The headers with ``frame_rate``, the largest rate of which all channels of the record have multiples, and their
+    ``samples_per_frame`` at that rate. Rates count to a thousandth. A channel without a rate has NULL in both."""
+    rate = F.round(F.col("fs") * 1000).cast("bigint")
+    rated = headers.withColumn("_mhz", F.when(rate > 0, rate))
+    zero = F.lit(0).cast("bigint")
+    common = rated.groupBy(*record).agg(F.aggregate(F.collect_set("_mhz"), zero, _gcd).alias("_common"))
+    both = rated.join(common.withColumn("_common", F.nullif("_common", zero)), record, "left")
+    return both.withColumns({
+        "samples_per_frame": F.call_function("div", F.col("_mhz"), F.col("_common")),
+        "frame_rate": F.when(F.col("_mhz").isNotNull(), F.col("_common") / 1000),
+    }).drop("_mhz", "_common")
+
+
+def _laid_out(pieces: Column, length: Column, missing: Column) -> Column:
+    """Pieces (at, _start, digital) put in their places; holes are filled, and of samples for one place the first stays."""
+
+    def put(out: Column, p: Column) -> Column:
+        filled = F.size(out)
+        hole = F.array_repeat(missing, F.greatest(p["at"] - filled, F.lit(0)).cast("int"))
+        more = F.slice(p["digital"], F.greatest(filled - p["at"], F.lit(0)).cast("int") + 1, F.size(p["digital"]))
+        return F.when(p["at"] + F.size(p["digital"]) > filled, F.concat(out, hole, more)).otherwise(out)
+
+    put_all = F.aggregate(F.array_sort(pieces), F.array().cast("array<bigint>"), put)
+    return F.transform(F.array(put_all), lambda out: F.concat(out, F.array_repeat(missing, (length - F.size(out)).cast("int"))))[0]
+
+
+def record_frames(
+    rows: DataFrame,
+    headers: DataFrame,
+    record: list[str],
+    channel: str = "channel",
+    start: str = "start_t_ns",
+    samples: str = "values_num",
+    fmt: str = waveform.DEFAULT_FORMAT,
+    block_frames: int = BLOCK_FRAMES,
+) -> DataFrame:
+    """Blocks of frames on the record's clock: one row per record, block and channel, with the digital samples in order.
+
+    A frame is a step of ``frame_rate`` and holds ``samples_per_frame`` samples of each channel, by its rate. The first
+    sample of a row takes the place nearest to its start; holes have the invalid value of the format, and where rows
+    overlap the one that started first counts. A block has ``block_frames`` frames; blocks in which no channel has a
+    sample are left out, and in the others all channels with a rate have all samples. Rows without a start, a sample or a
+    rate of their channel give none.
+
+    The work goes by (record, channel, block), so a long record is spread over all tasks.
+    """
+    clocks = record_clocks(headers, record).where(F.col("samples_per_frame").isNotNull())
+    length = F.col("samples_per_frame") * block_frames
+    keys = [*record, channel]
+    digital = waveform.digitize(F.col(samples), F.col("adc_gain"), F.col("baseline"), fmt)
+    placed = rows.select(*keys, F.col(start).alias("_start"), samples).where(F.col("_start").isNotNull() & (F.size(samples) > 0))
+    placed = placed.join(clocks.select(*keys, "adc_gain", "baseline", "base_ns", "samples_per_frame", "frame_rate"), keys)
+    clock = (F.col("_start") - F.col("base_ns")).cast("double") * F.col("samples_per_frame") * F.col("frame_rate") / 1e9
+    placed = placed.select(*keys, "_start", length.alias("_length"), F.rint(clock).cast("bigint").alias("_at"), digital.alias("_digital"))
+    last = F.col("_at") + F.size("_digital") - 1
+    div = lambda a: F.call_function("div", a, F.col("_length"))
+    cut = placed.withColumn("block", F.explode(F.sequence(div(F.col("_at")), div(last))))
+    begin = F.col("block") * F.col("_length")
+    skipped = F.greatest(begin - F.col("_at"), F.lit(0))
+    piece = F.slice("_digital", (skipped + 1).cast("int"), F.least(F.col("_length"), F.size("_digital").cast("bigint")).cast("int"))
+    at = F.greatest(F.col("_at") - begin, F.lit(0))
+    piece = F.slice(piece, F.lit(1), (F.col("_length") - at).cast("int"))
+    # Copies of a row fall together before anything is gathered.
+    cut = cut.select(*keys, "block", at.alias("at"), "_start", piece.alias("digital")).distinct()
+    pieces = cut.groupBy(*keys, "block").agg(F.collect_list(F.struct("at", "_start", "digital")).alias("_pieces"))
+    blocks = pieces.select(*record, "block").distinct()
+    every = blocks.join(clocks.select(*keys, "record_name", "frame_rate", "samples_per_frame"), record)
+    missing = F.lit(waveform.invalid_sample(fmt)).cast("bigint")
+    none = F.array().cast("array<struct<at:bigint,_start:bigint,digital:array<bigint>>>")
+    out = every.join(pieces, [*keys, "block"], "left")
+    return out.select(
+        *keys, "record_name", "block", (F.col("block") * block_frames).alias("first_frame"), "frame_rate", "samples_per_frame",
+        _laid_out(F.coalesce("_pieces", none), length, missing).alias("digital"),
+    )

@@ -707,3 +707,32 @@ def digital_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.max("r.digital_min").alias("low"), F.max("r.digital_max").alias("high"),
         F.max("r.invalid").cast("bigint").alias("invalid"),
     )
+
+
+@query(
+    """WITH r AS (SELECT user_id % 3 AS rec, 'A' AS ch, event_id * 4 + event_id % 3 AS s, 2 AS rate, 6 AS n, event_id % 100 AS v FROM events
+      UNION ALL SELECT user_id % 3, 'B', event_id * 4 + event_id % 3, 1, 3, event_id % 50 + 100 FROM events WHERE event_id % 5 <> 0),
+    base AS (SELECT rec, min(s) AS b FROM r GROUP BY rec),
+    x AS (SELECT rec, ch, rate, s, (s - b) * rate + unnest(range(n)) AS pos, v + unnest(range(n)) AS val FROM r JOIN base USING (rec)),
+    w AS (SELECT rec, ch, rate, pos, arg_min(val, s) AS val FROM x GROUP BY rec, ch, rate, pos),
+    blocks AS (SELECT DISTINCT rec, pos // (8 * rate) AS block FROM w),
+    cells AS (SELECT rec, ch, rate, block, unnest(range(8 * rate)) AS k FROM blocks JOIN (SELECT DISTINCT rec, ch, rate FROM r) USING (rec))
+    SELECT CAST(c.rec AS BIGINT) AS record, c.ch AS channel, CAST(block AS BIGINT) AS block, CAST(8 * block AS BIGINT) AS first_frame,
+      1.0::DOUBLE AS frame_rate, CAST(c.rate AS BIGINT) AS samples_per_frame, string_agg(CAST(coalesce(val, -32768) AS VARCHAR), ',' ORDER BY k) AS samples
+    FROM cells c LEFT JOIN w ON w.rec = c.rec AND w.ch = c.ch AND w.pos = block * 8 * c.rate + k GROUP BY c.rec, c.ch, block, c.rate"""
+)
+def record_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of records with channels of two rates, holes between rows and rows that overlap."""
+    n = F.col("event_id")
+
+    def rows_of(channel: str, period: float, size: int, first: Column) -> DataFrame:
+        return table(spark, sf_dir, "events").select(
+            (F.col("user_id") % 3).cast("bigint").alias("record"), F.lit(channel).alias("channel"), F.lit("mV").alias("UoM"),
+            ((n * 4 + n % 3) * 10**9).alias("start_t_ns"), F.lit(period).alias("pd_samp_ms"), "event_id",
+            F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda j: (first + j).cast("double")).alias("values_num"),
+        )
+
+    rows = rows_of("A", 500.0, 6, n % 100).unionByName(rows_of("B", 1000.0, 3, n % 50 + 100).where(n % 5 != 0))
+    headers = waveform.record_headers(rows, ["record"]).withColumns({"adc_gain": F.lit(1.0), "baseline": F.lit(0).cast("bigint")})
+    frames = waveform.record_frames(rows, headers, ["record"], block_frames=8)
+    return frames.select("record", "channel", "block", "first_frame", "frame_rate", "samples_per_frame", F.array_join("digital", ",").alias("samples"))

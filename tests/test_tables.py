@@ -178,3 +178,37 @@ def test_streams(spark, site, folder, tmp_path):
     query.awaitTermination()
     values = {r["key"]: json.loads(r["value"]) for r in spark.read.parquet(str(tmp_path / "j")).collect()}
     assert set(values) == {"C1", "C2", "C3", "A1"}
+
+
+def test_frames_of_ragged_channels(spark):
+    import random
+
+    random.seed(9)
+    rates = {"a": 250.0, "b": 125.0, "c": 62.5, "d": None}
+    rows = []
+    for rec in range(2):
+        for ch, rate in rates.items():
+            for n in range(12):
+                start = random.randrange(0, 3_000) * 4_000_000 + 1_700_000_000_000_000_000
+                values = [random.choice([None, float("nan"), float(random.randint(-50, 50))]) for _ in range(random.choice([0, 1, 7, 300]))]
+                rows.append((rec, ch, None if n == 11 else start, 1000.0 / rate if rate else None, values))
+    rows += rows[:6]
+    schema = "rec int, channel string, start_t_ns long, pd_samp_ms double, values_num array<double>"
+    data = spark.createDataFrame(rows, schema).withColumns({"UoM": F.lit(""), "block": F.lit(7), "at": F.lit(7)})
+    headers = waveform.record_headers(data, ["rec"]).withColumns({"adc_gain": F.lit(1.0), "baseline": F.lit(0).cast("long")})
+    expected, bases, seen = {}, {}, set()
+    for rec in range(2):
+        bases[rec] = min(r[2] for r in rows if r[0] == rec and r[2] is not None)
+    for i, (rec, ch, start, _, values) in sorted(enumerate(rows), key=lambda x: (x[1][2] or 0, x[0])):
+        if start is not None and rates[ch]:
+            at = round((start - bases[rec]) * rates[ch] / 1e9)
+            for j, v in enumerate(values):
+                expected.setdefault((rec, ch, at + j), -32768 if v is None or v != v else int(v))
+                seen.add((rec, (at + j) // (16 * int(rates[ch] / 62.5))))
+    out = waveform.record_frames(data, headers, ["rec"], block_frames=16).collect()
+    assert {(r.rec, r.block) for r in out} == seen and len(out) == 3 * len(seen)
+    for r in out:
+        size = 16 * r.samples_per_frame
+        assert r.frame_rate == 62.5 and r.samples_per_frame == rates[r.channel] / 62.5 and r.first_frame == 16 * r.block
+        assert r.digital == [expected.get((r.rec, r.channel, r.block * size + k), -32768) for k in range(size)]
+    assert waveform.record_frames(data.limit(0), headers, ["rec"]).collect() == []
