@@ -11,6 +11,7 @@ from bedfeed.operators.patients import attribute_patient, patient_sightings
 from bedfeed.operators.quality import verify_messages
 from bedfeed.session import scratch_dir
 from bedfeed.sources.feed import message_rows, scan_feed, split_messages
+from bedfeed.sources.lines import line_messages
 from bedfeed.sources.state import update_state
 
 
@@ -20,16 +21,20 @@ def located_messages(messages: DataFrame, site: SiteTables, depth: str = "signal
 
 
 def read_messages(
-    spark: SparkSession, root: str, site: SiteTables, extension: str = ".hl7", separator: str | None = None
+    spark: SparkSession, root: str, site: SiteTables, extension: str = ".hl7", separator: str | None = None,
+    by_lines: bool = False,
 ) -> DataFrame:
-    """A feed folder to parsed messages with their location. With a separator, files are read by many tasks."""
+    """A feed folder to parsed messages with their location. With a separator, or by lines, files are read by many tasks;
+    by lines, they may have any mix of line ends."""
+    if by_lines:
+        return located_messages(line_messages(spark, root, extension), site)
     files = scan_feed(spark, root, extension, separator)
     return located_messages(split_messages(files) if separator is None else message_rows(files), site)
 
 
 def read_observations(
     spark: SparkSession, root: str, site: SiteTables, state_path: str | None = None,
-    version: int | None = None, extension: str = ".hl7", separator: str | None = None,
+    version: int | None = None, extension: str = ".hl7", separator: str | None = None, by_lines: bool = False,
 ) -> dict[str, DataFrame]:
     """A feed folder to its tables: ``observations``, ``sightings``, ``quarantine`` and ``quality``.
 
@@ -37,7 +42,7 @@ def read_observations(
     it. With ``state_path`` the patient state is advanced first, and blank patient columns of the
     observations are filled from it. Admission messages give sightings but no observations.
     """
-    parsed = read_messages(spark, root, site, extension, separator)
+    parsed = read_messages(spark, root, site, extension, separator, by_lines)
     path = scratch_dir(spark)
     parsed.write.parquet(path)
     messages = spark.read.schema(parsed.schema).parquet(path)

@@ -14,7 +14,7 @@ from bedfeed.plans.base import query
 from bedfeed.plans.synth import table
 from bedfeed.session import compute_once, scratch_dir, spread
 from bedfeed.sinks.json_rows import to_json_rows
-from bedfeed.sources import feed
+from bedfeed.sources import feed, lines
 
 TIME_SQL = (
     "strftime({0}, '%Y%m%d%H%M%S') || '.' || "
@@ -591,6 +591,31 @@ def split_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, keys, "full").groupBy(F.col("a").eqNullSafe(F.col("b")).alias("same")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    f"""WITH {EVENTS_SQL}
+    SELECT CASE event_id % 3 WHEN 0 THEN 'LF' WHEN 1 THEN 'CRLF' ELSE 'CR' END AS line_end, TRUE AS same,
+      count(*) AS messages FROM e GROUP BY 1"""
+)
+def split_by_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of files with three kinds of line ends in turn, read by lines: numbers and texts are those of files read
+    whole."""
+    texts = synth.messages_from_events(table(spark, sf_dir, "events")).select("msg_idx", "message")
+    kind = F.get(F.array(F.lit("LF"), F.lit("CRLF"), F.lit("CR")), (F.col("msg_idx") % 3).cast("int"))
+    end = F.when(kind == "LF", "\n").when(kind == "CRLF", "\r\n").otherwise("\r")
+    # The writer ends each row with one more line feed, which a carriage return before it would take in.
+    blank = F.when(kind == "CR", F.concat(end, end)).otherwise(end)
+    path = scratch_dir(spark)
+    marked = F.concat(F.lit("ZLE|"), kind, F.lit("\r"), F.rtrim("message", F.lit("\r")))
+    texts.repartition(3, "msg_idx").select(F.concat(F.replace(marked, F.lit("\r"), end), blank).alias("value")).write.text(path)
+    whole = feed.split_messages(feed.scan_feed(spark, path, ".txt"))
+    by_lines = lines.line_messages(spark, path, ".txt")
+    keys = ["path", "msg_idx"]
+    a = whole.select(*keys, F.btrim("message", F.lit("\n")).alias("a")).where("a <> ''")
+    both = a.join(by_lines.select(*keys, F.col("message").alias("b")), keys, "full")
+    line_end = F.regexp_extract(F.coalesce("a", "b"), "^ZLE\\|([A-Z]+)", 1)
+    return both.groupBy(line_end.alias("line_end"), F.col("a").eqNullSafe(F.col("b")).alias("same")).agg(F.count(F.lit(1)).alias("messages"))
+
+
 @query(
     f"""WITH {EVENTS_SQL}
     SELECT 'observations' AS kind, count(*) AS n, count(DISTINCT user_id) AS patients
