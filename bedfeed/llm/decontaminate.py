@@ -157,11 +157,14 @@ def is_contaminated(n_words: Column, n_hit: Column) -> Column:
 
 
 def clean_of(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFrame:
-    """The documents that are not contaminated, with all their columns. Rows that share a doc_id go or stay together;
-    rows without one stay only if they are clean themselves."""
+    """The documents that are not contaminated, with all their columns, whatever their names. Rows that share a doc_id go
+    or stay together; rows without one stay only if they are clean themselves. Null and empty texts stay; an empty table
+    gives an empty one."""
     # A row without a doc_id is known by its text, of which alone the verdict depends.
     digest = F.when(F.col("doc_id").isNull(), F.sha2("text", 256))
     found = contamination(docs.select(F.struct("doc_id", digest.alias("digest")).alias("doc_id"), "text"), items, window)
-    bad = found.where(is_contaminated(F.col("n_words"), F.col("n_hit"))).select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.digest").alias("_digest"))
+    bad = found.where(is_contaminated(F.col("n_words"), F.col("n_hit"))).select(F.col("doc_id.doc_id").alias("bad_id"), F.col("doc_id.digest").alias("bad_digest"))
     bad = stored(bad.distinct())
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & digest.eqNullSafe(F.col("_digest")), "left_anti").select(*docs.columns)
+    named = docs.select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(docs.columns)], F.col("doc_id").alias("id"), digest.alias("digest"))
+    clean = named.join(bad, F.col("id").eqNullSafe(F.col("bad_id")) & F.col("digest").eqNullSafe(F.col("bad_digest")), "left_anti")
+    return clean.select(*[F.col(f"c_{i}").alias(c) for i, c in enumerate(docs.columns)])

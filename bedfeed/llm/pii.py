@@ -185,8 +185,15 @@ def span_texts(spans: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by its kind in angle brackets; overlapping spans are one, named after the
-    first. A column n_chars follows the text."""
-    spans = personal_spans(docs).where("kind >= 0").select("key", "kind", "start", "end").distinct()
+    first. A column n_chars follows the text.
+
+    Null and empty texts stay as they are, as do other columns, whatever their names. Rows that repeat a doc_id are cut
+    each at the places of its own text, whole repeated rows at the same places; an empty table gives an empty one.
+    """
+    # A row is known by its doc_id and a digest of its text, on which alone the spans depend.
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    found = personal_spans(docs.select(F.struct("doc_id", digest.alias("digest")).alias("doc_id"), "text"))
+    spans = found.where("kind >= 0").select(F.col("doc_id").alias("key"), "kind", "start", "end").distinct()
     order = Window.partitionBy("key").orderBy("start", "kind", "end")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("start") < F.col("before"), 0).otherwise(1)).over(order)
@@ -194,13 +201,16 @@ def redacted(docs: DataFrame) -> DataFrame:
         F.min("start").alias("start"), F.max("end").alias("end"), F.min(F.struct("start", "kind")).alias("one"),
     )
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    cuts = islands.groupBy(F.col("key").alias("_key")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", F.get(names, F.col("one.kind")).alias("name")))).alias("_cuts")
+    cuts = islands.groupBy(F.col("key.doc_id").alias("cut_id"), F.col("key.digest").alias("cut_digest")).agg(
+        F.array_sort(F.collect_list(F.struct("start", "end", F.get(names, F.col("one.kind")).alias("name")))).alias("cuts")
     )
     cuts = stored(cuts)
-    key = F.xxhash64(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")))
-    joined = docs.join(cuts, key == F.col("_key"), "left")
-    text = F.col("text")
+    # Columns go by their places, so that none clashes with those of the cuts.
+    places = {c: f"c_{i}" for i, c in enumerate(docs.columns)}
+    named = docs.select(*[F.col(c).alias(n) for c, n in places.items()], digest.alias("digest"))
+    same = F.col(places["doc_id"]).eqNullSafe(F.col("cut_id")) & (F.col("digest") == F.col("cut_digest"))
+    joined = named.join(cuts, same, "left")
+    text = F.col(places["text"])
 
     def cut(from_: Column, to: Column) -> Column:
         return F.substring(text, (from_ + 1).cast("int"), (to - from_).cast("int"))
@@ -210,7 +220,8 @@ def redacted(docs: DataFrame) -> DataFrame:
         tail = cut(F.get(c, F.size(c) - 1)["end"], F.char_length(text).cast("long"))
         return F.concat(F.array_join(parts, ""), tail)
 
-    clean = F.when(F.col("_cuts").isNull(), text).otherwise(let(F.col("_cuts"), rebuilt))
-    out = compute_once(joined, {"text": clean})
-    chars = F.char_length("text").cast(dict(docs.dtypes).get("n_chars", "long"))
-    return out.select(*[chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    clean = F.when(F.col("cuts").isNull(), text).otherwise(let(F.col("cuts"), rebuilt))
+    out = compute_once(joined.select(*places.values(), clean.alias("clean")), {"clean": F.col("clean")})
+    chars = F.char_length("clean").cast(dict(docs.dtypes).get("n_chars", "long"))
+    changed = {"text": F.col("clean"), "n_chars": chars}
+    return out.select(*[changed.get(c, F.col(n)).alias(c) for c, n in places.items()])

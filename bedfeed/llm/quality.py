@@ -116,8 +116,9 @@ def host_rates(rows: DataFrame, host: str = "source") -> DataFrame:
 def judged(rows: DataFrame, rates: DataFrame, host: str = "source") -> DataFrame:
     """Measured documents with ``host_rules``, the rules that count against their host, and ``kept``."""
     known = [F.when(F.col(f"shrunk_{name}") > HOST_LIMIT, F.lit(name)) for name in RULES]
-    verdicts = rates.select(F.col(host).alias("_host"), F.array_compact(F.array(*known)).alias("host_rules")).where(F.size("host_rules") > 0)
-    out = rows.drop("host_rules", "kept").join(verdicts, F.col(host) == F.col("_host"), "left").drop("_host")
+    key = f"_{host}_key"
+    verdicts = rates.select(F.col(host).alias(key), F.array_compact(F.array(*known)).alias("host_rules")).where(F.size("host_rules") > 0)
+    out = rows.drop("host_rules", "kept").join(verdicts, F.col(host) == F.col(key), "left").drop(key)
     out = out.withColumn("host_rules", F.coalesce("host_rules", F.array().cast("array<string>")))
     broken = [F.array_contains("host_rules", name) & F.expr(rule) for name, rule in RULES.items()]
     bad = broken[0]
@@ -140,6 +141,7 @@ def quality_rules(docs: DataFrame, host: str = "source") -> DataFrame:
 def quality_filter(docs: DataFrame, host: str = "source") -> DataFrame:
     """The documents that the rules keep, with the columns they came with.
 
+    Null and empty texts go. Repeated rows are judged each on its own; an empty table gives an empty one.
     Figures are worked out again instead of being joined back: texts are never shuffled.
     """
     flags = measured(docs.select(host, "text")).drop("text")
