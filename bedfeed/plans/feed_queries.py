@@ -569,6 +569,10 @@ def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(good, "bed_key")
 
 
+# Events in a file that is also read whole: a row holds the file, so a larger feed has more files and not larger ones.
+WHOLE_FILE_EVENTS = 20_000
+
+
 @query(
     f"""WITH {EVENTS_SQL}, n AS (SELECT count(*) + count(*) FILTER (event_type IN ('view', 'click', 'error')) AS n FROM e)
     SELECT TRUE AS same, count(*) AS n FROM (
@@ -599,7 +603,8 @@ def split_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_by_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of files with three kinds of line ends in turn, read by lines: numbers and texts are those of files read
     whole."""
-    texts = synth.messages_from_events(table(spark, sf_dir, "events")).select("msg_idx", "message")
+    events = table(spark, sf_dir, "events")
+    texts = synth.messages_from_events(events).select("msg_idx", "message")
     kind = F.get(F.array(F.lit("LF"), F.lit("CRLF"), F.lit("CR")), (F.col("msg_idx") % 3).cast("int"))
     end = F.when(kind == "LF", "\n").when(kind == "CRLF", "\r\n").otherwise("\r")
     # The writer ends each row with one more line feed, which a carriage return before it would take in.
@@ -610,9 +615,15 @@ def split_by_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = feed.split_messages(feed.scan_feed(spark, path, ".txt"))
     by_lines = lines.line_messages(spark, path, ".txt")
     keys = ["path", "msg_idx"]
-    a = whole.select(*keys, F.btrim("message", F.lit("\n")).alias("a")).where("a <> ''")
-    both = a.join(by_lines.select(*keys, F.col("message").alias("b")), keys, "full")
-    line_end = F.regexp_extract(F.coalesce("a", "b"), "^ZLE\\|([A-Z]+)", 1)
+
+    def digests(texts: DataFrame, name: str) -> DataFrame:
+        """What is compared of a text, so that the join moves no texts: its line end and its digest."""
+        line_end = F.regexp_extract("message", "^ZLE\\|([A-Z]+)", 1)
+        return texts.select(*keys, F.struct(line_end.alias("line_end"), F.sha2("message", 256).alias("text")).alias(name))
+
+    a = digests(whole.withColumn("message", F.btrim("message", F.lit("\n"))).where("message <> ''"), "a")
+    both = a.join(digests(by_lines, "b"), keys, "full")
+    line_end = F.coalesce("a", "b")["line_end"]
     return both.groupBy(line_end.alias("line_end"), F.col("a").eqNullSafe(F.col("b")).alias("same")).agg(F.count(F.lit(1)).alias("messages"))
 
 
