@@ -585,7 +585,7 @@ def split_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = events.where(F.col("event_type").isin("view", "click", "error")).select("event_id")
     again = texts.join(shown, F.col("event_id") == F.col("msg_idx")).drop("event_id")
     path = scratch_dir(spark)
-    rows = texts.unionByName(again).repartition(7, "msg_idx")
+    rows = texts.unionByName(again).repartition(max(7, -(-events.count() // WHOLE_FILE_EVENTS)), "msg_idx")
     rows.select(F.concat(F.translate("message", "\r", "\n"), F.lit("\n")).alias("value")).write.text(path)
     whole = feed.split_messages(feed.scan_feed(spark, path, ".txt"))
     pieces = feed.message_rows(feed.scan_feed(spark, path, ".txt", "\n\n"))
