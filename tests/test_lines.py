@@ -5,10 +5,13 @@ import random
 import pytest
 
 from bedfeed.operators.pipeline import read_messages
+from bedfeed.plans import feed_queries
+from bedfeed.session import spread
 from bedfeed.sources import lines
 from bedfeed.sources.feed import scan_feed, split_messages
 from bedfeed.sources.lines import line_messages
 
+SF_DIR = "/root/testdata/sf0.001"
 NAMES = ["path", "bed_key", "dir", "file", "seg_id", "msg_idx", "message"]
 
 
@@ -85,3 +88,24 @@ def test_read_messages_by_lines(spark, site, tmp_path):
     by_lines = read_messages(spark, root, site, by_lines=True).select(*columns).collect()
     assert len(by_lines) == 3
     assert sorted(by_lines) == sorted(read_messages(spark, root, site).select(*columns).collect())
+
+
+def test_large_files_are_no_rows(spark, tmp_path, monkeypatch):
+    """The feed queries hold no row as large as a file, and a larger feed means more tasks."""
+    seen = []
+    written = feed_queries.scratch_dir
+    monkeypatch.setattr(feed_queries.feed, "scan_feed", lambda *args: pytest.fail("a file is read whole"))
+    monkeypatch.setattr(feed_queries, "FILE_EVENTS", 300)
+    monkeypatch.setattr(feed_queries, "scratch_dir", lambda s: seen.append(written(s)) or seen[-1])
+    rows = feed_queries.ingested_files(spark, SF_DIR).collect()
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    assert sum(r["messages"] for r in rows) == events.where("event_type in ('view', 'click', 'error')").count()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(seen[0]).select("path", "length")
+    assert files.count() > len(rows)
+
+
+def test_tables_are_spread_by_rows(spark):
+    table = spark.range(1000)
+    assert spread(table, "id", rows=10).rdd.getNumPartitions() == 100
+    assert spread(spark.range(0, 1000, 1, 50), "id", rows=10_000).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(table, "id", rows=10).agg({"id": "sum"}).first()[0] == 499_500
