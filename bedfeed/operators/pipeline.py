@@ -9,7 +9,7 @@ from bedfeed.operators.messages import parse_messages, quarantine, valid
 from bedfeed.operators.observations import observations
 from bedfeed.operators.patients import attribute_patient, patient_sightings
 from bedfeed.operators.quality import verify_messages
-from bedfeed.session import scratch_dir
+from bedfeed.session import scratch_dir, spread
 from bedfeed.sources.feed import message_rows, scan_feed, split_messages
 from bedfeed.sources.lines import line_messages
 from bedfeed.sources.state import update_state
@@ -25,9 +25,11 @@ def read_messages(
     by_lines: bool = False,
 ) -> DataFrame:
     """A feed folder to parsed messages with their location. With a separator, or by lines, files are read by many tasks;
-    by lines, they may have any mix of line ends."""
+    by lines, they may have any mix of line ends, and the messages are parsed in tasks of a bounded number.
+
+    Files read whole are one row each, so they should be small next to the memory of a task."""
     if by_lines:
-        return located_messages(line_messages(spark, root, extension), site)
+        return located_messages(spread(line_messages(spark, root, extension), "path", "msg_idx"), site)
     files = scan_feed(spark, root, extension, separator)
     return located_messages(split_messages(files) if separator is None else message_rows(files), site)
 

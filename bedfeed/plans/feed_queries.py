@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from bedfeed.functions import times, values
 from bedfeed.operators import fields, location, messages, observations, patients, quality
-from bedfeed.operators.pipeline import located_messages, read_observations
+from bedfeed.operators.pipeline import located_messages, read_messages, read_observations
 from bedfeed.plans import synth
 from bedfeed.plans.base import query
 from bedfeed.plans.synth import table
