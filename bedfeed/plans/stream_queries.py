@@ -12,15 +12,16 @@ from bedfeed.operators.pipeline import located_messages
 from bedfeed.plans import feed_queries, synth, table_queries
 from bedfeed.plans.base import ORACLES, query
 from bedfeed.plans.synth import table
-from bedfeed.session import scratch_dir
+from bedfeed.session import TASK_ROWS, scratch_dir, tasks_for
 from bedfeed.sources.state import load_state
 from bedfeed.sources.tables import read_beds
 from bedfeed.streaming import event_time, feeds
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = table(spark, sf_dir, "events")
+    arriving = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return arriving.repartition(tasks_for(events), "event_id")
 
 
 def appended(stream: DataFrame) -> DataFrame:
@@ -146,21 +147,29 @@ def _state_sql(batches: int) -> str:
 @query(_state_sql(3))
 def stream_patient_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patient state advanced by a stream of messages in three batches: the history it leaves."""
-    events, files, path = table(spark, sf_dir, "events"), scratch_dir(spark), scratch_dir(spark)
-    for batch in range(3):
-        events.where(F.col("event_id") % 3 == batch).coalesce(1).write.mode("append").parquet(files)
-    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    events, path = table(spark, sf_dir, "events"), scratch_dir(spark)
+    arriving = in_batches(spark, events, F.col("event_id") % 3, 3)
     messages = located_messages(synth.messages_from_events(arriving), synth.site_tables(spark, sf_dir))
     feeds.stream_patient_state(messages, path, scratch_dir(spark), available_now=True).awaitTermination()
     return load_state(spark, path).history.select("hospital", "bed_unit", "bed_id", "pid", "start_ns").distinct()
 
 
+# Rows of a batch for each of its files.
+FILE_ROWS = 500_000
+
+
 def in_batches(spark: SparkSession, events: DataFrame, number: Column, batches: int) -> DataFrame:
-    """The events as a stream of one file per batch, which are read in the order of their numbers."""
-    files = scratch_dir(spark)
+    """The events as a stream of batches, which are read in the order of their numbers and spread over tasks by rows.
+
+    All batches have the same number of files, by which the stream takes them: one, or more if the smallest is large."""
+    path = scratch_dir(spark)
+    sizes = dict(events.groupBy(number.cast("bigint")).count().collect())
+    files = max(1, min(sizes.get(batch, 0) for batch in range(batches)) // FILE_ROWS)
     for batch in range(batches):
-        events.where(number == batch).coalesce(1).write.mode("append").parquet(files)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+        events.where(number == batch).repartition(files, "event_id").write.mode("append").parquet(path)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return arriving.repartition(max(cores, -(-max(sizes.values(), default=0) // TASK_ROWS)), "event_id")
 
 
 @query(

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from bedfeed.operators.location import SiteTables
 from bedfeed.operators.observations import VALUE_COLUMNS, observations
-from bedfeed.operators.patients import BED, ORDER, PERSON, attribute_patient, patient_sightings
+from bedfeed.operators.patients import BED, ORDER, PERSON, attribute_patient, first_sightings, patient_sightings
 from bedfeed.operators.pipeline import located_messages
 from bedfeed.operators.quality import quality_codes, verify_messages
 from bedfeed.sinks.json_rows import to_json_rows
@@ -71,11 +71,16 @@ def stream_patient_state(
 
     def advance(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        if on_rows is None:
+            # Parsed messages are wide, and only the first sightings are needed of them.
+            firsts = first_sightings(patient_sightings(batch)).drop("_new").persist()
+            update_state(spark, state_path, firsts, number)
+            firsts.unpersist()
+            return
         batch = batch.persist()
         try:
             state = update_state(spark, state_path, patient_sightings(batch), number)
-            if on_rows is not None:
-                on_rows(attribute_patient(observations(batch), state.intervals), number)
+            on_rows(attribute_patient(observations(batch), state.intervals), number)
         finally:
             batch.unpersist()
 
