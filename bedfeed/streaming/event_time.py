@@ -32,6 +32,8 @@ SIGHTING = (
 )
 # Stands for a missing number, which pandas would make the others floats for; it comes first in order, as NULL does.
 MISSING = -(1 << 63)
+# First sightings that a task holds before it passes them on.
+MAX_FIRSTS = 50_000
 
 
 @contextmanager
@@ -66,11 +68,17 @@ def _rank(found: tuple) -> list:
 
 
 def _earliest(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The first sighting of every patient and bed in each block of rows."""
+    """The first sighting of every patient and bed in a task's rows; if these are too many patients, in runs of blocks."""
+    order = ["start_ns", *ORDER, "visit_id", "first_name", "last_name", "middle_initial"]
+    firsts: pd.DataFrame | None = None
     for block in rows:
-        order = ["start_ns", *ORDER, "visit_id", "first_name", "last_name", "middle_initial"]
-        ordered = block.sort_values(order, na_position="first", kind="stable")
-        yield ordered.drop_duplicates([*BED, "pid"])
+        both = block if firsts is None else pd.concat([firsts, block])
+        firsts = both.sort_values(order, na_position="first", kind="stable").drop_duplicates([*BED, "pid"])
+        if len(firsts) > MAX_FIRSTS:
+            yield firsts
+            firsts = None
+    if firsts is not None:
+        yield firsts
 
 
 class BedIntervals(StatefulProcessor):

@@ -2,12 +2,15 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from bedfeed.operators.patients import BED, PERSON, patient_intervals
+from bedfeed.plans import stream_queries
 from bedfeed.streaming import event_time
 
+SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = (
     "hospital string, bed_unit string, bed_id string, pid string, visit_id string, first_name string, last_name string, "
     "middle_initial string, start_ns bigint, end_ns bigint, seg_id string, msg_idx bigint, sighting_idx int"
@@ -83,3 +86,34 @@ def test_windows_close_once(spark, tmp_path):
         (0, "a", "late"): (2, 2), (minute, "b", "late"): (1, 1), (9 * minute, "a", "closed"): (1, 1), (10 * minute, "a", "closed"): (1, 1),
     }
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != event_time.ROCKSDB
+
+
+def test_batches_of_several_files_and_tasks(spark, monkeypatch):
+    """Batches arrive in their order whatever the number of their files, and large ones are spread over more tasks."""
+    monkeypatch.setattr(stream_queries, "FILE_ROWS", 50)
+    monkeypatch.setattr(stream_queries, "TASK_ROWS", 20)
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    arriving = stream_queries.in_batches(spark, events, F.col("event_id") % 3, 3)
+    got = []
+
+    def keep(batch, number):
+        rows = batch.select("event_id").collect()
+        got.append((number, {r[0] % 3 for r in rows}, len(rows), batch.rdd.getNumPartitions()))
+
+    arriving.writeStream.foreachBatch(keep).trigger(availableNow=True).start().awaitTermination()
+    assert [(number, which) for number, which, _, _ in got] == [(0, {0}), (1, {1}), (2, {2})]
+    assert sum(rows for _, _, rows, _ in got) == events.count()
+    assert all(tasks == -(-max(rows for _, _, rows, _ in got) // 20) for _, _, _, tasks in got)
+
+
+def test_first_sightings_of_a_task_are_gathered_over_blocks(monkeypatch):
+    def block(*rows):
+        columns = ["hospital", "bed_unit", "bed_id", "pid", "start_ns", "seg_id", "msg_idx", "sighting_idx"]
+        names = ["visit_id", "first_name", "last_name", "middle_initial"]
+        return pd.DataFrame([("H", "U", "B", p, t, None, 0, 0, "", "", "", "") for p, t in rows], columns=columns + names)
+
+    blocks = [block(("P", 5), ("Q", 7)), block(("P", 3)), block(("Q", 9), ("R", 1))]
+    (firsts,) = event_time._earliest(iter(blocks))
+    assert sorted(zip(firsts["pid"], firsts["start_ns"])) == [("P", 3), ("Q", 7), ("R", 1)]
+    monkeypatch.setattr(event_time, "MAX_FIRSTS", 1)
+    assert sum(map(len, event_time._earliest(iter(blocks)))) == 5
