@@ -11,7 +11,7 @@ from bedfeed.operators import location, observations, patients, profile, wavefor
 from bedfeed.plans import synth
 from bedfeed.plans.base import query
 from bedfeed.plans.synth import table
-from bedfeed.session import compute_once, scratch_dir
+from bedfeed.session import TASK_ROWS, compute_once, scratch_dir, spread
 from bedfeed.sinks import records, tables as table_sink
 from bedfeed.sources import tables as table_source
 
@@ -499,7 +499,8 @@ def appended_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark)
     rows = order_rows(spark, sf_dir).withColumn("row_idx", F.lit(0).cast("bigint"))
     cheaper = rows.withColumns({"values_num": F.transform("values_num", lambda v: v - 1), "row_idx": F.lit(1).cast("bigint")})
-    both = rows.unionByName(cheaper).repartition(4, "control_id")
+    both = rows.unionByName(cheaper)
+    both = both.repartition(max(4, -(-table(spark, sf_dir, "orders").count() // TASK_ROWS)), "control_id")
     table_sink.write_observations(both.where("_batch < 2"), path)
     table_sink.write_observations(both.where("_batch >= 2"), path)
     return table_source.load_batches(spark, path).groupBy("bed_id").agg(

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bedfeed.operators.observations import OBSERVATION_SCHEMA, dedup_observations
+from bedfeed.session import tasks_for
 from bedfeed.sinks.tables import BED, ROW_ORDER
 
+# Rows of a task that looks for duplicates.
+DEDUP_ROWS = 500_000
+
 # The number of a batch folder, or the one at the end of a file name.
 _BATCH_FOLDER = r"/batch_id=(\d+)/"
 _TRAILING_NUMBER = r"-(\d+)\.[^-/]*$"
@@ -48,12 +52,21 @@ def load_batches(
     if file_start > 0 or (num_files is not None and num_files >= 0):
         rows = slice_keys(rows, {"_number": number, "_name": name}, file_start, num_files)
     if dedup:
-        rows = rows.select("*", number.alias("_number"), name.alias("_name"), file.alias("_file"))
+        rows = _in_tasks(rows.select("*", number.alias("_number"), name.alias("_name"), file.alias("_file")))
         order = ["_number", "_name", "_file", *[c for c in ROW_ORDER if c in columns]]
         rows = dedup_observations(rows, order)
     return rows.select(*columns)
 
 
+def _in_tasks(rows: DataFrame) -> DataFrame:
+    """Rows of files in tasks of a bounded number of rows, if those they are read in may be larger: a file of rows with many
+    blank columns is small and its rows are not. Rows are dealt by their places, so that copies do not fall together."""
+    tasks = tasks_for(rows, DEDUP_ROWS)
+    if tasks <= rows.rdd.getNumPartitions():
+        return rows
+    return rows.withColumn("_row", F.col("_metadata.row_index")).repartition(tasks, "_file", "_row").drop("_row")
+
+
 def _at_or_beyond(bound: tuple, keys: dict[str, Column], above: bool) -> Column:
     found = F.lit(True)
     for column, value in reversed(list(zip(keys.values(), bound, strict=True))):
@@ -119,4 +132,4 @@ def load_beds(
     if file_start > 0 or (num_files is not None and num_files >= 0):
         rows = slice_keys(rows, blank, file_start, num_files)
     order = ["_written", "_file", *[c for c in ROW_ORDER if c in columns]]
-    return dedup_observations(rows.fillna("", list(BED)), order).select(*columns)
+    return dedup_observations(_in_tasks(rows).fillna("", list(BED)), order).select(*columns)

@@ -212,3 +212,22 @@ def test_frames_of_ragged_channels(spark):
         assert r.frame_rate == 62.5 and r.samples_per_frame == rates[r.channel] / 62.5 and r.first_frame == 16 * r.block
         assert r.digital == [expected.get((r.rec, r.channel, r.block * size + k), -32768) for k in range(size)]
     assert waveform.record_frames(data.limit(0), headers, ["rec"]).collect() == []
+
+
+def test_duplicates_are_looked_for_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    """Files are small next to their rows, so the tasks that look for duplicates go by rows."""
+    path, n = str(tmp_path / "t"), F.col("id")
+    rows = spark.range(400).select(
+        F.lit("H").alias("hospital"), (n % 100).cast("string").alias("control_id"), F.array(n.cast("double")).alias("values_num"), n.alias("row_idx")
+    )
+    sink.write_observations(rows.coalesce(1), path)
+    before = sorted(tuple(r["values_num"]) for r in source.load_batches(spark, path).collect())
+    tasks = []
+    dedup = source.dedup_observations
+    monkeypatch.setattr(source, "DEDUP_ROWS", 10)
+    monkeypatch.setattr(source, "dedup_observations", lambda rows, order: tasks.append(rows.rdd.getNumPartitions()) or dedup(rows, order))
+    assert sorted(tuple(r["values_num"]) for r in source.load_batches(spark, path).collect()) == before == [(float(i),) for i in range(100)]
+    assert tasks == [40]
+    beds = str(tmp_path / "b")
+    sink.write_by_bed(rows, beds)
+    assert source.load_beds(spark, beds).count() == 100
