@@ -727,7 +727,7 @@ def record_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("event_id")
 
     def rows_of(channel: str, period: float, size: int, first: Column) -> DataFrame:
-        return table(spark, sf_dir, "events").select(
+        return spread(table(spark, sf_dir, "events"), "event_id", rows=4 * TASK_ROWS).select(
             (F.col("user_id") % 3).cast("bigint").alias("record"), F.lit(channel).alias("channel"), F.lit("mV").alias("UoM"),
             ((n * 4 + n % 3) * 10**9).alias("start_t_ns"), F.lit(period).alias("pd_samp_ms"), "event_id",
             F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda j: (first + j).cast("double")).alias("values_num"),
