@@ -209,7 +209,8 @@ def redacted(docs: DataFrame) -> DataFrame:
     places = {c: f"c_{i}" for i, c in enumerate(docs.columns)}
     named = docs.select(*[F.col(c).alias(n) for c, n in places.items()], digest.alias("digest"))
     same = F.col(places["doc_id"]).eqNullSafe(F.col("cut_id")) & (F.col("digest") == F.col("cut_digest"))
-    joined = named.join(cuts, same, "left")
+    # One plan at all sizes: cuts are broadcast only while there are few, and their arrays are far larger in memory.
+    joined = named.join(cuts.hint("merge"), same, "left")
     text = F.col(places["text"])
 
     def cut(from_: Column, to: Column) -> Column:
