@@ -229,3 +229,12 @@ def test_article_elements_and_ends_of_texts(name):
 @pytest.mark.parametrize("name", WORDS)
 def test_words_for_what_is_beside_the_text(name):
     assert html.main_text(WORDS[name][0]).split("\n") == WORDS[name][1]
+
+
+def test_texts_meet_their_cuts_by_one_plan_at_all_sizes(spark):
+    """A few cuts are not broadcast: a plan that changes with the size grows in a step."""
+    docs = spark.createDataFrame([(1, "write to ann@example.org"), (2, "nothing here")], "doc_id long, text string")
+    out = pii.redacted(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "write to <EMAIL>", 2: "nothing here"}
