@@ -23,7 +23,7 @@ from bedfeed.functions.location import (
     icu_bed,
     location_candidate,
 )
-from bedfeed.session import broadcast_if_small, compute_once
+from bedfeed.session import broadcast_if_small, compute_once, with_value
 
 
 @dataclass(frozen=True)
@@ -169,14 +169,17 @@ def resolve_locations(df: DataFrame, site: SiteTables, text: str = "location_tex
     lookups = site.lookups
     out = _lookup(out, lookups["hospitals"], F.get(c, F.lit(0)), "hospital", is_hospital="hospital")
     out = out.withColumn(
-        f"{_SCRATCH}_cand", location_candidate(F.col(c), _s("is_hospital").isNotNull())
+        f"{_SCRATCH}_cand",
+        with_value(
+            F.struct(F.col(c).alias("c"), _s("is_hospital").isNotNull().alias("hospital")),
+            lambda r: location_candidate(r["c"], r["hospital"]),
+        ),
     )
     cand = F.col(f"{_SCRATCH}_cand")
+    out = out.withColumn(f"{_SCRATCH}_lookup_wild", with_value(cand["lookup_bed"], bed_wildcard))
     out = _lookup(out, lookups["recovery_prefixes"], cand["hospital"], "hospital_raw", prefix="bed_prefix")
-    out = _lookup(
-        out, lookups["beds"], bed_wildcard(cand["lookup_bed"]), "bed_wildcard", found="unit"
-    )
-    prefixed = icu_bed(F.concat(F.coalesce(_s("prefix"), F.lit("")), cand["bed"]))
+    out = _lookup(out, lookups["beds"], _s("lookup_wild"), "bed_wildcard", found="unit")
+    prefixed = with_value(F.concat(F.coalesce(_s("prefix"), F.lit("")), cand["bed"]), icu_bed)
     out = out.withColumns(
         {
             f"{_SCRATCH}_unit": F.when(
@@ -188,7 +191,8 @@ def resolve_locations(df: DataFrame, site: SiteTables, text: str = "location_tex
     unit, bed = _s("unit"), _s("bed")
     out = _lookup(out, lookups["hospitals"], F.substring_index(unit, " ", 1), "hospital", first_word="hospital")
     out = _lookup(out, lookups["units"], unit, "unit", u_hospital="hospital", u_unit="canonical_unit")
-    out = out.withColumn(f"{_SCRATCH}_wild", bed_wildcard(bed))
+    wild = F.when(bed == cand["lookup_bed"], _s("lookup_wild")).otherwise(with_value(bed, bed_wildcard))
+    out = out.withColumn(f"{_SCRATCH}_wild", wild)
     out = _lookup(
         out, lookups["bed_units"], _s("wild"), "bed_wildcard",
         b_raw="unit", b_hospital="hospital", b_unit="canonical_unit",
@@ -200,7 +204,7 @@ def resolve_locations(df: DataFrame, site: SiteTables, text: str = "location_tex
     by_unit = _s("u_unit").isNotNull()
     ok = cand["error"].isNull()
     needs_bed = ok & ~virtual & ~by_unit
-    bad_bed = (cand["lookup_bed"].isNotNull() & bed_wildcard(cand["lookup_bed"]).isNull()) | (
+    bad_bed = (cand["lookup_bed"].isNotNull() & _s("lookup_wild").isNull()) | (
         needs_bed & _s("wild").isNull()
     )
     blank = F.lit("")

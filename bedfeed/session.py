@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -101,6 +102,15 @@ def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return derived.select(*others, F.inline(F.array(F.struct(*columns))))
 
 
+def with_value(value: Column, rule: Callable[[Column], Column]) -> Column:
+    """A rule over a value that is worked out once, however often the rule names it, and of its branches only those taken.
+
+    A named expression is copied to every place that uses it; one bound by a lambda is not. Long rules
+    are also kept out of the generated loop over the rows, which the JVM no longer compiles once it is too long.
+    """
+    return F.get(F.transform(F.array(value), rule), F.lit(0))
+
+
 def explode_rows(
     df: DataFrame, keep: list, array: Column, value: str, position: str = "_position"
 ) -> DataFrame:

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from samples import ADT, WAVE
 
 from bedfeed.operators import fields, location, messages, observations, patients, quality
@@ -258,3 +259,21 @@ def test_own_separators(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "n int, message string")
     same = [messages.segment_table(df, honor_msh_separators=x).select("n", "seg_idx", "name", "fields").collect() for x in (True, False)]
     assert same[0] == same[1]
+
+
+def _plan(spark, df):
+    """Optimized plan as text, expressions in full."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        return df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_a_bed_is_brought_to_its_wildcard_form_once(spark, site):
+    rows = spark.createDataFrame([("MID-4120-01",), ("MID-ICU-7",)], "location_text string")
+    plan = _plan(spark, location.resolve_locations(rows, site))
+    # A pattern is tried and replaced: for the bed that gives the unit, and for the bed if it is another.
+    assert plan.count("(-?)01$") == 4
+    found = [(r["bed_unit"], r["bed_id"]) for r in location.resolve_locations(rows, site).orderBy("location_text").collect()]
+    assert found == [("20ICU", "4120-01"), ("ICU", "7")]
