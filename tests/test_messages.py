@@ -270,6 +270,18 @@ def _plan(spark, df):
         spark.conf.unset("spark.sql.debug.maxToStringFields")
 
 
+def test_a_signal_is_searched_once_for_its_samples_and_period(spark):
+    text = "MSH|^~\\&|||||20250101000000+0000||ORU^R01"
+    parsed = messages.parse_messages(spark.createDataFrame([(1, text)], "msg_idx long, message string"))
+    plan = _plan(spark, parsed.select(F.transform("signals", quality._checked).alias("q")))
+    assert plan.count(observations.PERIOD_MARK) == 1
+    # The last sampled attribute, and the attributes that are not sampled.
+    assert plan.count(f"= {observations.ARRAY_TYPE})") == 2
+    rows = observations.rows_in_message(F.col("s"), F.lit(True))
+    plan = _plan(spark, parsed.select(F.explode("signals").alias("s")).select(rows.alias("r")))
+    assert plan.count(f"= {observations.ARRAY_TYPE})") == 2
+
+
 def test_a_bed_is_brought_to_its_wildcard_form_once(spark, site):
     rows = spark.createDataFrame([("MID-4120-01",), ("MID-ICU-7",)], "location_text string")
     plan = _plan(spark, location.resolve_locations(rows, site))
