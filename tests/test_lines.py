@@ -6,6 +6,7 @@ import pytest
 
 from bedfeed.operators.pipeline import read_messages
 from bedfeed.plans import feed_queries
+from bedfeed.plans.base import QUERIES
 from bedfeed.session import spread
 from bedfeed.sources import lines
 from bedfeed.sources.feed import scan_feed, split_messages
@@ -109,3 +110,14 @@ def test_tables_are_spread_by_rows(spark):
     assert spread(table, "id", rows=10).rdd.getNumPartitions() == 100
     assert spread(spark.range(0, 1000, 1, 50), "id", rows=10_000).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(table, "id", rows=10).agg({"id": "sum"}).first()[0] == 499_500
+
+
+@pytest.mark.parametrize("name", ["quality_by_message", "sightings", "signal_delays", "field_lines"])
+def test_messages_are_worked_on_in_tasks_of_bounded_rows(spark, monkeypatch, name):
+    """A longer table of events means more tasks, and the work on a message comes after the rows are dealt out."""
+    monkeypatch.setattr(feed_queries, "spread", lambda df, *keys: spread(df, *keys, rows=50))
+    tasks = -(-spark.read.parquet(f"{SF_DIR}/events.parquet").count() // 50)
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().sparkPlan().toString()
+    above, below = plan.split("REPARTITION_BY_NUM")
+    assert above.rstrip(" ,").endswith(f", {tasks})")
+    assert "split(" in above and "split(" not in below

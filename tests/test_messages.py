@@ -289,3 +289,29 @@ def test_a_bed_is_brought_to_its_wildcard_form_once(spark, site):
     assert plan.count("(-?)01$") == 4
     found = [(r["bed_unit"], r["bed_id"]) for r in location.resolve_locations(rows, site).orderBy("location_text").collect()]
     assert found == [("20ICU", "4120-01"), ("ICU", "7")]
+
+
+def test_checks_find_what_whole_signals_find(spark, site):
+    """Quality codes, delays, sightings and errors need no more of the attributes than the depth ``checks`` reads."""
+    texts = [
+        WAVE, ADT, VITALS, VITALS.replace("||80|bpm|", "||80|a^b|"), VITALS.replace("5^SHORT", "SHORT"),
+        VITALS.replace("20310907081500-0400|||NORTH", "20310907081500-0359|||NORTH"),
+        VITALS.replace("||||||||20310907081500-0400", "||||||||20310907081500-0401"),
+        VITALS.replace("||||||||20310907081500-0400", "||||||||never"), WAVE.replace("|1^2^x|", "|)|"),
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "msg_idx bigint, message string")
+
+    def found(depth):
+        located = located_messages(rows, site, depth)
+        verified = quality.verify_messages(located, check_start_times=True)
+        tables = [
+            located.select("msg_idx", "error_code", "bed_id"), patients.patient_sightings(located),
+            quality.message_delays(located), verified.select("msg_idx", "errs", "warns", "wave_types", "verify_error"),
+        ]
+        return [sorted(t.collect(), key=str) for t in tables]
+
+    whole, checks = found("signals"), found("checks")
+    assert checks == whole
+    assert {r["error_code"] for r in whole[0]} == {None, "BAD_SIGNAL_NAME", "BAD_UNIT", "BAD_TIME"}
+    attributes = parse(spark, site, texts[6]).first()["signals"][0]["attributes"]
+    assert attributes[0]["obx_time"] == "20310907081500-0400"
