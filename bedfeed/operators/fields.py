@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bedfeed.functions import hl7
-from bedfeed.session import explode_rows
+from bedfeed.session import explode_rows, with_value
 
 # Segments that occur once per message and whose columns are already parsed.
 _SINGLE = {"MSH": "msh", "PID": "pid_fields", "PV1": "pv1_fields"}
@@ -36,13 +36,29 @@ def _field_text(segment: str, fields: Column, number: int | None) -> Column:
 
 
 def _line(kind: str, entries: dict[str, Column]) -> Column:
-    """One output line: its kind, its values by key, and its text with the keys in order."""
+    """One output line: its kind, its values in the order of their keys, and its text with the keys in order."""
     keys = sorted(entries)
-    return F.struct(
+    return with_value(F.array(*[entries[k] for k in keys]), lambda texts: F.struct(
         F.lit(kind).alias("kind"),
-        F.create_map(*[x for k in keys for x in (F.lit(k), entries[k])]).alias("values"),
-        F.concat_ws("\t", *[F.concat(F.lit(f"{k}:"), entries[k]) for k in keys]).alias("line"),
-    )
+        texts.alias("texts"),
+        F.concat_ws("\t", *[F.concat(F.lit(f"{k}:"), F.get(texts, F.lit(i))) for i, k in enumerate(keys)]).alias("line"),
+    ))
+
+
+def _values(wanted: dict[str, list[int | None]]) -> Column:
+    """The values of a line by key. The keys are those of its kind."""
+    out = F.lit(None).cast("map<string,string>")
+    for segment, numbers in wanted.items():
+        keys = [_key(segment, n) for n in numbers]
+        if segment == "OBX":
+            keys += [_key("OBR", n) for n in wanted.get("OBR", [])]
+        entries = [x for i, k in enumerate(sorted(set(keys))) for x in (F.lit(k), F.get("l.texts", F.lit(i)))]
+        out = F.when(F.col("l.kind") == segment, F.create_map(*entries)).otherwise(out)
+    return out
+
+
+def _key(segment: str, number: int | None) -> str:
+    return f"{'_' if segment in ('OBR', 'OBX') else ''}{segment}.{number}"
 
 
 def _group_lines(wanted: dict[str, list[int | None]]) -> Column | None:
@@ -52,10 +68,18 @@ def _group_lines(wanted: dict[str, list[int | None]]) -> Column | None:
         return None
 
     def entries(segment: str, fields: Column, numbers: list[int | None]) -> dict[str, Column]:
-        return {f"_{segment}.{n}": _field_text(segment, fields, n) for n in numbers}
+        return {_key(segment, n): _field_text(segment, fields, n) for n in numbers}
 
     def lines(group: Column) -> Column:
-        of_obr = entries("OBR", group["obr"], obr_wanted or [])
+        if obr_wanted is None:
+            return group_lines(group, {})
+        # The OBR is read once for all lines of its group.
+        read = entries("OBR", group["obr"], obr_wanted)
+        return with_value(F.array(*read.values()), lambda texts: group_lines(
+            group, {key: F.get(texts, F.lit(i)) for i, key in enumerate(read)}
+        ))
+
+    def group_lines(group: Column, of_obr: dict[str, Column]) -> Column:
         parts = []
         if obr_wanted is not None:
             parts.append(F.array(_line("OBR", of_obr)))
@@ -73,7 +97,7 @@ def _group_lines(wanted: dict[str, list[int | None]]) -> Column | None:
 
 def _segment_line(segment: str, numbers: list[int | None]) -> Callable[[Column], Column]:
     return lambda fields: _line(
-        segment, {f"{segment}.{n}": _field_text(segment, fields, n) for n in numbers}
+        segment, {_key(segment, n): _field_text(segment, fields, n) for n in numbers}
     )
 
 
@@ -109,16 +133,14 @@ def extract_fields(messages: DataFrame, names: list[str], only_usable: bool = Fa
     keep = [c for c in ("dir", "file", "seg_id", "msg_idx") if c in messages.columns]
     return (
         explode_rows(messages.where(usable), keep, F.concat(*arrays), "l", "line_idx")
-        .select(*keep, "line_idx", "l.kind", "l.values", "l.line")
+        .select(*keep, "line_idx", "l.kind", _values(wanted).alias("values"), "l.line")
     )
 
 
 def extract_wide(messages: DataFrame, names: list[str], only_usable: bool = False) -> DataFrame:
     """The same lines with one column per field; fields a line does not have are NULL."""
     wanted = wanted_fields(names)
-    keys = sorted(
-        f"{'_' if s in ('OBR', 'OBX') else ''}{s}.{n}" for s, numbers in wanted.items() for n in numbers
-    )
+    keys = sorted(_key(s, n) for s, numbers in wanted.items() for n in numbers)
     lines = extract_fields(messages, names, only_usable)
     return lines.select(
         *[c for c in lines.columns if c not in ("values", "line")],

@@ -315,3 +315,19 @@ def test_checks_find_what_whole_signals_find(spark, site):
     assert {r["error_code"] for r in whole[0]} == {None, "BAD_SIGNAL_NAME", "BAD_UNIT", "BAD_TIME"}
     attributes = parse(spark, site, texts[6]).first()["signals"][0]["attributes"]
     assert attributes[0]["obx_time"] == "20310907081500-0400"
+
+
+def test_a_field_of_an_obr_is_read_once_for_all_its_lines(spark, site):
+    texts = spark.createDataFrame([(0, VITALS)], "msg_idx bigint, message string")
+    parsed = messages.parse_messages(texts, depth="fields")
+
+    def readings(*names):
+        plan = fields.extract_fields(parsed, ["OBR.4", *names])._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count(".obr[4]")
+
+    assert readings("OBX.3", "OBX.5", "OBX.14") == readings() > 0
+    rows = fields.extract_fields(parsed, ["OBR.4", "OBX.5", "OBX.3"]).orderBy("line_idx").collect()
+    assert rows[1]["values"] == {
+        "_OBR.4": "182777000^monitoring of patient^SCT", "_OBX.3": "1^MDC_ECG_HEART_RATE^MDC", "_OBX.5": "80",
+    }
+    assert rows[1]["line"].split("\t") == [f"{k}:{v}" for k, v in sorted(rows[1]["values"].items())]
